@@ -16,10 +16,14 @@ def typed_cells(sheet: DataFrame, source_dataset: str) -> DataFrame:
     """All cells with parsed values, duplicates still in."""
     return (
         sheet_to_long(sheet)
-        .withColumn("parsed", parse_numeric(F.col("value_raw")))
-        .withColumn("source_dataset", F.lit(source_dataset))
-        .withColumn("year", F.year("period_date"))
-        .withColumn("month", F.month("period_date"))
+        .withColumns(
+            {
+                "parsed": parse_numeric(F.col("value_raw")),
+                "source_dataset": F.lit(source_dataset),
+                "year": F.year("period_date"),
+                "month": F.month("period_date"),
+            }
+        )
         .select("*", "parsed.*")
         .select(*LONG_COLUMNS, *READING_ORDER)
     )

@@ -52,13 +52,15 @@ def series_targets(tidy: DataFrame) -> DataFrame:
 def add_calendar_features(df: DataFrame) -> DataFrame:
     month_sin, month_cos = cycle(F.col("month"), 12)
     quarter_sin, quarter_cos = cycle(F.col("quarter"), 4)
-    return (
-        df.withColumn("month_sin", month_sin)
-        .withColumn("month_cos", month_cos)
-        .withColumn("quarter_sin", quarter_sin)
-        .withColumn("quarter_cos", quarter_cos)
-        .withColumn("is_year_start", F.coalesce(F.col("month") == 1, F.lit(False)))
-        .withColumn("is_year_end", F.coalesce(F.col("month") == 12, F.lit(False)))
+    return df.withColumns(
+        {
+            "month_sin": month_sin,
+            "month_cos": month_cos,
+            "quarter_sin": quarter_sin,
+            "quarter_cos": quarter_cos,
+            "is_year_start": F.coalesce(F.col("month") == 1, F.lit(False)),
+            "is_year_end": F.coalesce(F.col("month") == 12, F.lit(False)),
+        }
     )
 
 

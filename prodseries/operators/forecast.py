@@ -14,7 +14,6 @@ Two models stand in for iterative fits and are not numerically equal to them:
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,24 +40,25 @@ SERIES = ["level", "series_id"]
 def order_history(history: DataFrame) -> DataFrame:
     """Number each series' rows by date and attach the lags the fits need (one sort)."""
     series = Window.partitionBy(*SERIES).orderBy("period_date")
-    whole = Window.partitionBy(*SERIES)
-    y = F.col("target_value")
+    context = [c for c in FORECAST_CONTEXT if c not in SERIES]
+    return (
+        history.select(
+            *SERIES,
+            # A series is described by its first row.
+            *[F.first(c).over(series).alias(c) for c in context],
+            "period_date",
+            F.col("target_value").alias("y"),
+            F.row_number().over(series).alias("rn"),
+            F.count("*").over(Window.partitionBy(*SERIES)).alias("n_rows"),
+            *[F.lag("target_value", k).over(series).alias(f"l{k}") for k in (1, 2, SEASON, SEASON + 1)],
+        )
+        .withColumns({"d0": F.expr("y - l1"), "d1": F.expr("l1 - l2"), "d12": F.expr(f"l{SEASON} - l{SEASON + 1}")})
+        .drop("l1", "l2", f"l{SEASON}", f"l{SEASON + 1}")
+    )
 
-    def level(k: int) -> Column:
-        return F.lag("target_value", k).over(series)
 
-    return history.select(
-        *SERIES,
-        # A series is described by its first row.
-        *[F.first(c).over(series).alias(c) for c in FORECAST_CONTEXT if c not in SERIES],
-        "period_date",
-        y.alias("y"),
-        F.row_number().over(series).alias("rn"),
-        F.count("*").over(whole).alias("n_rows"),
-        (y - level(1)).alias("d0"),
-        (level(1) - level(2)).alias("d1"),
-        (level(SEASON) - level(SEASON + 1)).alias("d12"),
-    )
+def _aggregates(named: dict[str, str]) -> list[Column]:
+    return [F.expr(sql).alias(name) for name, sql in named.items()]
 
 
 def fit_series(ordered: DataFrame, holdout: Column, extra_keys: list[str], horizon: int = 0) -> DataFrame:
@@ -66,75 +66,59 @@ def fit_series(ordered: DataFrame, holdout: Column, extra_keys: list[str], horiz
 
     With ``horizon`` the held-out dates and values come along as ``test_date`` / ``test_y``.
     """
-    train_rows = F.col("n_rows") - holdout
-    rows = ordered.withColumn("train_rows", train_rows.cast("int"))
-    rn, y = F.col("rn"), F.col("y")
-    train = rn <= F.col("train_rows")
-    x = month_index(F.col("period_date")).cast("double")
-
-    def in_train(c: Column) -> Column:
-        return F.when(train, c)
-
-    lagged = train & (rn >= SEASON + 2)
-    d0, d1, d12 = F.col("d0"), F.col("d1"), F.col("d12")
-
-    def moment(a: Column, b: Column) -> Column:
-        return F.sum(F.when(lagged, a * b))
-
-    aggregates = [F.max(in_train(F.col("period_date"))).alias("last_period")]
+    rows = ordered.withColumns(
+        {
+            "train_rows": (F.col("n_rows") - holdout).cast("int"),
+            "x": month_index(F.col("period_date")).cast("double"),
+            "m": F.month("period_date"),
+        }
+    )
+    months, steps, tail = range(1, SEASON + 1), range(1, horizon + 1), range(TAIL)
+    lagged = f"FILTER (WHERE rn <= train_rows AND rn >= {SEASON + 2})"
+    state = {
+        "last_period": "max(period_date) FILTER (WHERE rn <= train_rows)",
+        "recent_mean": (
+            f"avg(y) FILTER (WHERE rn <= train_rows AND rn > train_rows - {MOVING_AVERAGE_WINDOW})"
+        ),
+        "s11": f"sum(d1 * d1) {lagged}",
+        "s22": f"sum(d12 * d12) {lagged}",
+        "s12": f"sum(d1 * d12) {lagged}",
+        "s1": f"sum(d1 * d0) {lagged}",
+        "s2": f"sum(d12 * d0) {lagged}",
+        "slope": "regr_slope(y, x) FILTER (WHERE rn <= train_rows)",
+        "intercept": "regr_intercept(y, x) FILTER (WHERE rn <= train_rows)",
+    }
     # tail_0 is the latest training level.
-    aggregates += [F.max(F.when(rn == F.col("train_rows") - k, y)).alias(f"tail_{k}") for k in range(TAIL)]
-    aggregates += [
-        F.avg(F.when(train & (rn > F.col("train_rows") - MOVING_AVERAGE_WINDOW), y)).alias("recent_mean"),
-        moment(d1, d1).alias("s11"),
-        moment(d12, d12).alias("s22"),
-        moment(d1, d12).alias("s12"),
-        moment(d1, d0).alias("s1"),
-        moment(d12, d0).alias("s2"),
-        F.regr_slope(in_train(y), in_train(x)).alias("slope"),
-        F.regr_intercept(in_train(y), in_train(x)).alias("intercept"),
-    ]
-    for m in range(1, SEASON + 1):
-        here = train & (F.month("period_date") == m)
-        aggregates += [
-            F.avg(F.when(here, y)).alias(f"y_m{m}"),
-            F.avg(F.when(here, x)).alias(f"x_m{m}"),
-        ]
-    for step in range(1, horizon + 1):
-        at_step = rn == F.col("train_rows") + step
-        aggregates += [
-            F.max(F.when(at_step, F.col("period_date"))).alias(f"test_date_{step}"),
-            F.max(F.when(at_step, y)).alias(f"test_y_{step}"),
-        ]
+    state |= {f"tail_{k}": f"max(y) FILTER (WHERE rn = train_rows - {k})" for k in tail}
+    for m in months:
+        state[f"y_m{m}"] = f"avg(y) FILTER (WHERE rn <= train_rows AND m = {m})"
+        state[f"x_m{m}"] = f"avg(x) FILTER (WHERE rn <= train_rows AND m = {m})"
+    for step in steps:
+        state[f"test_date_{step}"] = f"max(period_date) FILTER (WHERE rn = train_rows + {step})"
+        state[f"test_y_{step}"] = f"max(y) FILTER (WHERE rn = train_rows + {step})"
+
     keys = [*FORECAST_CONTEXT, "n_rows", "train_rows", *extra_keys]
-    state = rows.groupBy(*keys).agg(*aggregates)
-    months = range(1, SEASON + 1)
-    seasonal = [
-        F.coalesce(F.col(f"y_m{m}") - F.col("intercept") - F.col("slope") * F.col(f"x_m{m}"), F.lit(0.0))
-        for m in months
-    ]
-    determinant = F.col("s11") * F.col("s22") - F.col("s12") * F.col("s12")
-    packed = state.select(
-        *keys,
-        "last_period",
-        "recent_mean",
+    seasonal = ", ".join(f"coalesce(y_m{m} - intercept - slope * x_m{m}, 0)" for m in months)
+    packed = {
+        "last_period": "last_period",
+        "last_x": "12 * year(last_period) + month(last_period)",
+        "recent_mean": "recent_mean",
         # Oldest first, ending with the latest level.
-        F.array(*[F.col(f"tail_{k}") for k in reversed(range(TAIL))]).alias("tail"),
-        determinant.alias("determinant"),
-        (determinant > 1e-12 * F.col("s11") * F.col("s22")).alias("solvable"),
-        "s11", "s22", "s12", "s1", "s2",
+        "tail": f"array({', '.join(f'tail_{k}' for k in reversed(tail))})",
+        "solvable": "coalesce(s11 * s22 - s12 * s12 > 1e-12 * s11 * s22, false)",
+        "ar_1": "CASE WHEN s11 * s22 - s12 * s12 > 1e-12 * s11 * s22"
+        " THEN (s1 * s22 - s2 * s12) / (s11 * s22 - s12 * s12) END",
+        "ar_12": "CASE WHEN s11 * s22 - s12 * s12 > 1e-12 * s11 * s22"
+        " THEN (s2 * s11 - s1 * s12) / (s11 * s22 - s12 * s12) END",
         # A single distinct date has no slope: the line is then flat.
-        F.coalesce("slope", F.lit(0.0)).alias("slope"),
-        F.coalesce("intercept", "recent_mean").alias("intercept"),
-        F.array(*seasonal).alias("seasonal"),
-        F.array(*[F.col(f"test_date_{s}") for s in range(1, horizon + 1)]).alias("test_date"),
-        F.array(*[F.col(f"test_y_{s}") for s in range(1, horizon + 1)]).alias("test_y"),
-    )
-    return packed.withColumn(
-        "ar_1", F.when(F.col("solvable"), (F.col("s1") * F.col("s22") - F.col("s2") * F.col("s12")) / F.col("determinant"))
-    ).withColumn(
-        "ar_12", F.when(F.col("solvable"), (F.col("s2") * F.col("s11") - F.col("s1") * F.col("s12")) / F.col("determinant"))
-    ).drop("determinant", "s11", "s22", "s12", "s1", "s2")
+        "slope": "coalesce(slope, 0)",
+        "intercept": "coalesce(intercept, recent_mean)",
+        "seasonal": f"array({seasonal})",
+    }
+    if horizon:
+        packed["test_date"] = f"array({', '.join(f'test_date_{s}' for s in steps)})"
+        packed["test_y"] = f"array({', '.join(f'test_y_{s}' for s in steps)})"
+    return rows.groupBy(*keys).agg(*_aggregates(state)).select(*keys, *_aggregates(packed))
 
 
 # -------------------------------------------------------------------------- models
@@ -142,67 +126,52 @@ def fit_series(ordered: DataFrame, holdout: Column, extra_keys: list[str], horiz
 
 @dataclass(frozen=True)
 class Forecaster:
-    """``path(h)`` is an array of h forecasts over a state row; ``reason`` is non-NULL when
-    the model cannot be fitted to that row. Dynamic models follow the calendar, flat ones
-    repeat one value. The ordinal breaks ties between equally good models."""
+    """A model as SQL over a state row: ``path`` is an array of ``{h}`` forecasts, ``reason``
+    is non-NULL when the model cannot be fitted to that row. Dynamic models follow the
+    calendar, flat ones repeat one value. The ordinal breaks ties between equal models."""
 
     name: str
     ordinal: int
     dynamic: bool
-    path: Callable[[Column], Column]
-    reason: Callable[[], Column]
-
-
-def _steps(h: Column) -> Column:
-    return F.sequence(F.lit(1), F.greatest(h, F.lit(1)))
+    path: str
+    reason: str = "CAST(NULL AS STRING)"
 
+    def path_of(self, h: str) -> Column:
+        return F.expr(self.path.format(h=h))
 
-def _never() -> Column:
-    return F.lit(None).cast("string")
+    def reason_of(self) -> Column:
+        return F.expr(self.reason)
 
 
-def _repeat(value: str) -> Callable[[Column], Column]:
-    return lambda h: F.array_repeat(F.col(value), h)
-
-
-def _last_level(h: Column) -> Column:
-    return F.array_repeat(F.element_at("tail", -1), h)
-
-
-def _seasonal_ar_path(h: Column) -> Column:
-    def extend(levels: Column, _step: Column) -> Column:
-        one, two = F.element_at(levels, -1), F.element_at(levels, -2)
-        twelve, thirteen = F.element_at(levels, -SEASON), F.element_at(levels, -SEASON - 1)
-        following = one + F.col("ar_1") * (one - two) + F.col("ar_12") * (twelve - thirteen)
-        return F.concat(levels, F.array(following))
-
-    return F.slice(F.aggregate(_steps(h), F.col("tail"), extend), F.lit(TAIL + 1), h)
-
-
-def _seasonal_ar_reason() -> Column:
-    return F.when(F.col("train_rows") < SEASONAL_MIN_ROWS, "series too short for seasonal baseline").when(
-        ~F.coalesce(F.col("solvable"), F.lit(False)), "singular_fit"
-    )
-
-
-def _trend_seasonal_path(h: Column) -> Column:
-    last = month_index(F.col("last_period"))
-
-    def at(step: Column) -> Column:
-        x = last + step
-        season = F.get("seasonal", (x - 1) % SEASON)
-        return F.col("intercept") + F.col("slope") * x + season
-
-    return F.transform(_steps(h), at)
+_STEPS = "sequence(1, greatest({h}, 1))"
 
+# d(t) = ar_1 d(t-1) + ar_12 d(t-12), on levels, one level appended per step.
+_EXTEND = (
+    "(levels, step) -> concat(levels, array(element_at(levels, -1)"
+    " + ar_1 * (element_at(levels, -1) - element_at(levels, -2))"
+    f" + ar_12 * (element_at(levels, -{SEASON}) - element_at(levels, -{SEASON + 1}))))"
+)
 
 MODELS = {
     f.name: f
     for f in (
-        Forecaster("naive", 0, False, _last_level, _never),
-        Forecaster("moving_average", 1, False, _repeat("recent_mean"), _never),
-        Forecaster("seasonal_ar", 2, True, _seasonal_ar_path, _seasonal_ar_reason),
-        Forecaster("trend_seasonal", 3, True, _trend_seasonal_path, _never),
+        Forecaster("naive", 0, False, "array_repeat(element_at(tail, -1), {h})"),
+        Forecaster("moving_average", 1, False, "array_repeat(recent_mean, {h})"),
+        Forecaster(
+            "seasonal_ar",
+            2,
+            True,
+            f"slice(aggregate({_STEPS}, tail, {_EXTEND}), {TAIL + 1}, {{h}})",
+            f"CASE WHEN train_rows < {SEASONAL_MIN_ROWS} THEN 'series too short for seasonal baseline'"
+            " WHEN NOT solvable THEN 'singular_fit' END",
+        ),
+        Forecaster(
+            "trend_seasonal",
+            3,
+            True,
+            f"transform({_STEPS}, step -> intercept + slope * (last_x + step)"
+            f" + get(seasonal, (last_x + step - 1) % {SEASON}))",
+        ),
     )
 }
 DYNAMIC_MODELS = [f.name for f in MODELS.values() if f.dynamic]
@@ -216,22 +185,15 @@ def resolve_models(names: list[str] | None = None) -> list[Forecaster]:
     return [MODELS[n] for n in names]
 
 
-def path_of(model: Column, h: Column) -> Column:
-    """Forecast path of the model a row names; only that branch is evaluated."""
-    chosen = None
-    for f in MODELS.values():
-        branch = F.when(model == f.name, f.path(h)) if chosen is None else chosen.when(model == f.name, f.path(h))
-        chosen = branch
-    return chosen
+def path_of(model: str, h: str) -> Column:
+    """Forecast path of the model that column ``model`` names; only that branch is evaluated."""
+    branches = " ".join(f"WHEN '{f.name}' THEN {f.path.format(h=h)}" for f in MODELS.values())
+    return F.expr(f"CASE {model} {branches} END")
 
 
-def reason_of(model: Column) -> Column:
-    chosen = None
-    for f in MODELS.values():
-        chosen = (
-            F.when(model == f.name, f.reason()) if chosen is None else chosen.when(model == f.name, f.reason())
-        )
-    return chosen.otherwise(F.concat(F.lit("Unsupported model: "), model))
+def reason_of(model: str) -> Column:
+    branches = " ".join(f"WHEN '{f.name}' THEN {f.reason}" for f in MODELS.values())
+    return F.expr(f"CASE {model} {branches} ELSE concat('Unsupported model: ', {model}) END")
 
 
 def model_ordinal(model: Column) -> Column:
@@ -261,29 +223,14 @@ def _insufficient() -> Column:
     return F.concat(F.lit("insufficient_history(len="), F.col("n_rows").cast("string"), F.lit(")"))
 
 
-def _model_array(models: list[Forecaster], h: Column) -> Column:
+def _fits(models: list[Forecaster], h: int) -> Column:
     """One struct per model; a path is only evaluated where the model fits."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("model"),
-                f.reason().alias("reason"),
-                F.when(f.reason().isNull(), f.path(h)).alias("path"),
-            )
-            for f in models
-        ]
+    structs = ", ".join(
+        f"named_struct('model', '{f.name}', 'reason', {f.reason},"
+        f" 'path', CASE WHEN ({f.reason}) IS NULL THEN {f.path.format(h=h)} END)"
+        for f in models
     )
-
-
-@dataclass(frozen=True)
-class Backtest:
-    """Four views over one fitted state; they share its plan, so materialise ``state`` (or
-    the views you use) when several are written."""
-
-    predictions: DataFrame
-    metrics: DataFrame
-    future: DataFrame
-    skipped: DataFrame
+    return F.expr(f"array({structs})")
 
 
 def backtest_state(
@@ -305,7 +252,7 @@ def backtest_state(
         "test_date",
         "test_y",
         enough.alias("enough"),
-        F.when(enough, _model_array(resolve_models(models), F.lit(horizon))).alias("fits"),
+        F.when(enough, _fits(resolve_models(models), horizon)).alias("fits"),
     )
 
 
@@ -400,12 +347,34 @@ def skipped_series(state: DataFrame) -> DataFrame:
     return short.unionByName(failed.filter(F.col("reason").isNotNull()).select(*columns))
 
 
+class Backtest:
+    """Four views over one fitted state. They share its plan: write ``state`` to a table first
+    when several of them are going to be written."""
+
+    def __init__(self, state: DataFrame):
+        self.state = state
+
+    @property
+    def predictions(self) -> DataFrame:
+        return backtest_predictions(self.state)
+
+    @property
+    def metrics(self) -> DataFrame:
+        return backtest_metrics(self.predictions)
+
+    @property
+    def future(self) -> DataFrame:
+        return future_forecasts(self.state)
+
+    @property
+    def skipped(self) -> DataFrame:
+        return skipped_series(self.state)
+
+
 def backtest(
     history: DataFrame, horizon: int = HORIZON, min_train: int = MIN_TRAIN, models: list[str] | None = None
 ) -> Backtest:
-    state = backtest_state(history, horizon, min_train, models)
-    predictions = backtest_predictions(state)
-    return Backtest(predictions, backtest_metrics(predictions), future_forecasts(state), skipped_series(state))
+    return Backtest(backtest_state(history, horizon, min_train, models))
 
 
 def forecast_with(history: DataFrame, model: str, horizon: int = HORIZON) -> DataFrame:
@@ -413,8 +382,10 @@ def forecast_with(history: DataFrame, model: str, horizon: int = HORIZON) -> Dat
     (forecaster,) = resolve_models([model])
     state = fit_series(order_history(history), F.lit(0), [])
     return (
-        state.filter(forecaster.reason().isNull())
-        .select(*FORECAST_CONTEXT, "last_period", F.posexplode(forecaster.path(F.lit(horizon))).alias("i", "forecast_value"))
+        state.filter(forecaster.reason_of().isNull())
+        .select(
+            *FORECAST_CONTEXT, "last_period", F.posexplode(forecaster.path_of(str(horizon))).alias("i", "forecast_value")
+        )
         .select(
             *FORECAST_CONTEXT,
             (F.col("i") + 1).alias("horizon_step"),

@@ -103,12 +103,9 @@ def operational_forecast(
 
     fallback, primary = F.col("level_model"), F.coalesce("series_model", "level_model")
     horizon = month_index(end) - month_index(F.col("last_period"))
-    primary_reason, fallback_reason = reason_of(primary), reason_of(fallback)
     judged = (
-        state.withColumn("horizon", horizon)
-        .withColumn("primary", primary)
-        .withColumn("primary_reason", primary_reason)
-        .withColumn("fallback_reason", fallback_reason)
+        state.withColumns({"horizon": horizon, "primary": primary})
+        .withColumns({"primary_reason": reason_of("primary"), "fallback_reason": reason_of("level_model")})
         .withColumn("used", F.when(F.col("primary_reason").isNull(), primary).otherwise(fallback))
         .withColumn(
             "reason",
@@ -139,7 +136,7 @@ def operational_forecast(
             *FORECAST_CONTEXT,
             F.col("used").alias("selected_model"),
             F.col("last_period").alias("last_observed_period"),
-            F.posexplode(path_of(F.col("used"), F.col("horizon"))).alias("i", "forecast_value"),
+            F.posexplode(path_of("used", "horizon")).alias("i", "forecast_value"),
         )
         .withColumn("forecast_period_date", F.add_months("last_observed_period", F.col("i") + 1))
         .filter(F.col("forecast_period_date") >= start)

@@ -12,23 +12,23 @@ from prodseries.schemas import GAP_OK_MAX, GAP_WARNING_MAX, PERIOD_KEYS
 def tidy_observations(base: DataFrame) -> DataFrame:
     """Add period, classification, rounding and key columns; units stay as they are."""
     date, month = F.col("period_date"), F.col("month")
+    value, yyyymm = m.nan_to_null(F.col("value")), m.yyyymm(date)
     is_total = F.coalesce(F.lower("departamento") == "total", F.lit(False))
-    return (
-        base.withColumn("value", m.nan_to_null(F.col("value")))
-        .withColumn("period_yyyymm", m.yyyymm(date))
-        .withColumn("month_name_es", m.month_name(month))
-        .withColumn("quarter", F.quarter(date))
-        .withColumn("semester", m.semester(month))
-        .withColumn("is_total_departamento", is_total)
-        .withColumn("area_geografica", F.when(is_total, "Nacional").otherwise("Departamental"))
-        .withColumn("metric_level", F.when(is_total, "total_oficial").otherwise("detalle_departamental"))
-        .withColumn("value_rounded_6", m.round_half_even(F.col("value"), 6))
-        .withColumn(
-            "record_id",
-            F.concat_ws(
-                "|", F.coalesce("period_yyyymm", F.lit("nan")), F.coalesce("series_code", F.lit("nan"))
+    return base.withColumns(
+        {
+            "value": value,
+            "period_yyyymm": yyyymm,
+            "month_name_es": m.month_name(month),
+            "quarter": F.quarter(date),
+            "semester": m.semester(month),
+            "is_total_departamento": is_total,
+            "area_geografica": F.when(is_total, "Nacional").otherwise("Departamental"),
+            "metric_level": F.when(is_total, "total_oficial").otherwise("detalle_departamental"),
+            "value_rounded_6": m.round_half_even(value, 6),
+            "record_id": F.concat_ws(
+                "|", F.coalesce(yyyymm, F.lit("nan")), F.coalesce("series_code", F.lit("nan"))
             ),
-        )
+        }
     )
 
 

@@ -7,6 +7,7 @@ are rounded so that engines that add floating-point numbers in another order agr
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -370,13 +371,28 @@ def _window(spark: SparkSession, sf: str) -> tuple[Column, Column]:
     return F.add_months(last, 2), F.add_months(last, 12)
 
 
-def _operational(spark: SparkSession, sf: str, mode: str = "series_mae_dynamic", min_train: int = forecast.MIN_TRAIN):
+@dataclass(frozen=True)
+class Stages:
+    history: DataFrame
+    backtest: forecast.Backtest
+    operational: selection.OperationalForecast
+
+    @property
+    def forecasts(self) -> DataFrame:
+        return self.operational.forecasts
+
+
+def _operational(
+    spark: SparkSession, sf: str, mode: str = "series_mae_dynamic", min_train: int = forecast.MIN_TRAIN
+) -> Stages:
     history = _history(spark, sf)
-    metrics = forecast.backtest(history).metrics
+    views = forecast.backtest(history)
+    metrics = views.metrics
     start, end = _window(spark, sf)
-    return selection.operational_forecast(
+    frozen = selection.operational_forecast(
         history, forecast.leaderboard(metrics), metrics, mode, start, end, min_train
     )
+    return Stages(history, views, frozen)
 
 
 @query
@@ -391,7 +407,7 @@ def operational_forecast_by_level(spark, sf):
 
 @query
 def operational_skipped(spark, sf):
-    return _operational(spark, sf, min_train=STRICT_MIN_TRAIN + 2).skipped
+    return _operational(spark, sf, min_train=STRICT_MIN_TRAIN + 2).operational.skipped
 
 
 EXECUTIVE_MONTHS = [f"2025-{m:02d}" for m in range(1, 12)]
@@ -519,13 +535,14 @@ def upsert_predictions(spark, sf):
 
 @query
 def history_and_forecast(spark, sf):
-    series = charts.history_and_forecast(_history(spark, sf), _operational(spark, sf).forecasts)
+    stages = _operational(spark, sf)
+    series = charts.history_and_forecast(stages.history, stages.forecasts)
     return rounded(series, 4, "value")
 
 
 def _evaluation(spark: SparkSession, sf: str) -> DataFrame:
-    predictions = forecast.backtest(_history(spark, sf)).predictions
-    return charts.selected_evaluation(predictions, _operational(spark, sf).forecasts)
+    stages = _operational(spark, sf)
+    return charts.selected_evaluation(stages.backtest.predictions, stages.forecasts)
 
 
 @query

@@ -99,27 +99,24 @@ def period_token(date: Column) -> Column:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The long observation table: one row per month and series, totals included."""
+    mineral, departamento, date = F.col("mineral"), F.col("departamento"), F.col("period_date")
+    unit = unit_of(mineral)
+    computed = {
+        "source_dataset": F.lit("lineitem"),
+        "period_raw": period_token(date),
+        "year": F.year(date),
+        "month": F.month(date),
+        "series_code": F.concat_ws("_", F.replace(mineral, F.lit("#"), F.lit("")), departamento),
+        "series_description": F.concat(
+            F.lit("Produccion mensual - "), mineral, F.lit(" - "), departamento, F.lit(" ("), unit, F.lit(")")
+        ),
+        "unidad": unit,
+        "is_missing": F.lit(False),
+        "is_invalid_numeric": F.lit(False),
+        "value_raw": F.col("value").cast("bigint").cast("string"),
+    }
     rows = _detail_and_total(monthly_quantities(spark, sf_dir))
-    mineral, departamento = F.col("mineral"), F.col("departamento")
-    return (
-        rows.withColumn("unidad", unit_of(mineral))
-        .withColumn("source_dataset", F.lit("lineitem"))
-        .withColumn("period_raw", period_token(F.col("period_date")))
-        .withColumn("year", F.year("period_date"))
-        .withColumn("month", F.month("period_date"))
-        .withColumn("series_code", F.concat_ws("_", F.replace(mineral, F.lit("#"), F.lit("")), departamento))
-        .withColumn(
-            "series_description",
-            F.concat(
-                F.lit("Produccion mensual - "), mineral, F.lit(" - "), departamento,
-                F.lit(" ("), F.col("unidad"), F.lit(")"),
-            ),
-        )
-        .withColumn("is_missing", F.lit(False))
-        .withColumn("is_invalid_numeric", F.lit(False))
-        .withColumn("value_raw", F.col("value").cast("bigint").cast("string"))
-        .select(*LONG_COLUMNS)
-    )
+    return rows.select(*[computed[c].alias(c) if c in computed else c for c in LONG_COLUMNS])
 
 
 def fault_residue(date: Column, brand_no: Column) -> Column:
