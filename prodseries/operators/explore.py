@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prodseries.operators.quantiles import iqr_outliers
-from prodseries.operators.tidy import with_gap_flag
+from prodseries.operators.tidy import dimension_counts, with_gap_flag
 from prodseries.schemas import GAP_OK_MAX, GAP_WARNING_MAX, METRIC_TONNES
 
 
@@ -118,18 +118,18 @@ def eda_summary(
     def named(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(F.col("label").alias(f"{prefix}_label"), F.col("value").alias(f"{prefix}_value"))
 
+    is_total = F.col("is_total_departamento")
     parts = [
-        tidy.agg(
+        dimension_counts(tidy).agg(
             F.min("period_date").alias("period_min"),
             F.max("period_date").alias("period_max"),
             F.count_distinct("period_yyyymm").alias("n_periods"),
             F.count_distinct("mineral").alias("n_minerales"),
-            F.count_distinct(F.when(~F.col("is_total_departamento"), F.col("departamento"))).alias(
-                "n_departamentos"
-            ),
-            F.count("*").alias("rows_tidy"),
-            F.count_if("is_total_departamento").alias("rows_official"),
-            F.count_if(~F.col("is_total_departamento")).alias("rows_detail"),
+            F.count_distinct(F.when(~is_total, F.col("departamento"))).alias("n_departamentos"),
+            *[
+                F.coalesce(F.sum(F.when(kind, F.col("n_rows"))), F.lit(0)).alias(name)
+                for name, kind in (("rows_tidy", F.lit(True)), ("rows_official", is_total), ("rows_detail", ~is_total))
+            ],
         ),
         agg_mineral.agg(F.count("*").alias("rows_agg_mineral")),
         agg_departamento.agg(F.count("*").alias("rows_agg_departamento")),

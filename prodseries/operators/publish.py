@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prodseries.functions import measures as m
@@ -214,10 +214,14 @@ def prediction_summary(documents: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------------- upserts
 
-# What each published table is keyed by, and which key parts may be NULL.
-FACTS = {"keys": SERIES_KEY}
-AGGREGATES = {"keys": AGGREGATE_KEY, "nullable_keys": ["unidad", "mineral", "departamento"]}
-PREDICTIONS = {"keys": PREDICTION_KEY}
+# What each published table is keyed by, which key parts may be NULL, and the month it is stored under.
+FACTS = {"keys": SERIES_KEY, "partition": "period_date"}
+AGGREGATES = {
+    "keys": AGGREGATE_KEY,
+    "nullable_keys": ["unidad", "mineral", "departamento"],
+    "partition": "period_date",
+}
+PREDICTIONS = {"keys": PREDICTION_KEY, "partition": "forecast_window_start"}
 
 
 def upsert(
@@ -226,6 +230,7 @@ def upsert(
     keys: list[str],
     now: datetime | str | Column,
     nullable_keys: list[str] | None = None,
+    partition: str | None = None,
 ) -> DataFrame:
     """Merge a batch into a snapshot: one row per key, plus ``write_status``.
 
@@ -235,41 +240,50 @@ def upsert(
 
     NULLs match each other in ``nullable_keys`` only. The other key parts are joined by plain
     equality, so the repeated-key check and the join share one partitioning and one sort.
+
+    ``partition`` names a month-grained key column. Snapshot rows of months the batch does not
+    touch then bypass the join: they are neither shuffled nor sorted.
     """
-    nullable_keys = nullable_keys or []
+    if partition is None:
+        return _merge(snapshot, batch, keys, now, nullable_keys or [])
+    # Distinct months: at most 1,200 in a century.
+    touched = F.broadcast(batch.select(partition).distinct())
+    merged = _merge(snapshot.join(touched, partition, "left_semi"), batch, keys, now, nullable_keys or [])
+    resting = snapshot.join(touched, partition, "left_anti").withColumn("write_status", F.lit("kept"))
+    return merged.unionByName(resting, allowMissingColumns=True)
+
+
+def _merge(
+    snapshot: DataFrame, batch: DataFrame, keys: list[str], now: datetime | str | Column, nullable_keys: list[str]
+) -> DataFrame:
     stamp = as_timestamp(now)
-    copies = Window.partitionBy(*keys)
-    checked = (
-        batch.withColumn("_copies", F.count("*").over(copies))
-        .withColumn(
-            "_in_batch",
-            F.when(F.col("_copies") > 1, F.raise_error(F.lit(f"duplicate key in batch: {keys}")).cast("boolean"))
-            .otherwise(True),
-        )
-        .drop("_copies")
+    repeated = F.raise_error(F.lit(f"duplicate key in batch: {keys}")).cast("boolean")
+    new = batch.withColumn(
+        "_in_batch",
+        F.when(F.count("*").over(Window.partitionBy(*keys)) > 1, repeated).otherwise(True),
     )
     managed = ["ingested_at", "updated_at"]
     old = snapshot.select(*[F.col(c).alias(f"_o_{c}") for c in snapshot.columns], F.lit(True).alias("_in_old"))
-    condition = None
+    condition = F.lit(True)
     for k in keys:
         mine, theirs = F.col(k), F.col(f"_o_{k}")
-        equal = mine.eqNullSafe(theirs) if k in nullable_keys else mine == theirs
-        condition = equal if condition is None else condition & equal
-    both = old.join(checked, condition, "full_outer")
+        condition = condition & (mine.eqNullSafe(theirs) if k in nullable_keys else mine == theirs)
+    both = old.join(new, condition, "full_outer")
     in_batch, in_old = F.col("_in_batch").isNotNull(), F.col("_in_old").isNotNull()
 
-    columns = [c for c in snapshot.columns if c not in managed]
-    columns += [c for c in batch.columns if c not in columns and c not in managed]
-    merged = []
-    for c in columns:
-        new = F.col(c) if c in batch.columns else None
-        prior = F.col(f"_o_{c}") if c in snapshot.columns else F.lit(None)
-        merged.append((F.when(in_batch, new).otherwise(prior) if new is not None else prior).alias(c))
-    old_stamp = {c: F.col(f"_o_{c}") if c in snapshot.columns else F.lit(None) for c in managed}
+    def prior(c: str) -> Column:
+        return F.col(f"_o_{c}") if c in snapshot.columns else F.lit(None)
+
+    fields = [c for c in snapshot.columns if c not in managed]
+    fields += [c for c in batch.columns if c not in fields and c not in managed]
+    merged = [
+        (F.when(in_batch, F.col(c)).otherwise(prior(c)) if c in batch.columns else prior(c)).alias(c)
+        for c in fields
+    ]
     return both.select(
         *merged,
-        F.coalesce(old_stamp["ingested_at"], stamp).alias("ingested_at"),
-        F.when(in_batch, stamp).otherwise(old_stamp["updated_at"]).alias("updated_at"),
+        F.coalesce(prior("ingested_at"), stamp).alias("ingested_at"),
+        F.when(in_batch, stamp).otherwise(prior("updated_at")).alias("updated_at"),
         F.when(in_batch & in_old, "matched").when(in_batch, "inserted").otherwise("kept").alias("write_status"),
     )
 
@@ -280,14 +294,57 @@ def first_load(batch: DataFrame, now: datetime | str | Column) -> DataFrame:
     return batch.withColumn("ingested_at", stamp).withColumn("updated_at", stamp)
 
 
-def upsert_counters(merged: DataFrame) -> DataFrame:
+def _counters() -> list[Column]:
     """Operations, matches, modifications and inserts. Every match is a modification, because
     ``updated_at`` always changes."""
     status = F.col("write_status")
     matched, inserted = F.count_if(status == "matched"), F.count_if(status == "inserted")
-    return merged.agg(
+    return [
         (matched + inserted).alias("n_operations"),
         matched.alias("matched_count"),
         matched.alias("modified_count"),
         inserted.alias("upserted_count"),
+    ]
+
+
+def upsert_counters(merged: DataFrame) -> DataFrame:
+    return merged.agg(*_counters())
+
+
+def upsert_table(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: list[str],
+    now: datetime | str | Column,
+    nullable_keys: list[str] | None = None,
+    partition: str = "period_date",
+) -> dict[str, int]:
+    """Upsert into a Parquet table stored by month and return the counters.
+
+    Only the months of the batch are read, merged and replaced. The new files are staged and
+    moved in when the whole write has succeeded, so a failed or retried task leaves the table
+    as it was. The counters come out of the same job.
+    """
+    touched = F.broadcast(batch.select(partition).distinct())
+    if table_exists(spark, path):
+        snapshot = spark.read.parquet(path).join(touched, partition, "left_semi")
+        merged = upsert(snapshot, batch, keys, now, nullable_keys)
+    else:
+        merged = upsert(first_load(batch, now).limit(0), batch, keys, now, nullable_keys)
+    observed = Observation("upsert")
+    (
+        merged.hint("rebalance", partition)
+        .observe(observed, *_counters())
+        .drop("write_status")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
     )
+    return {k: int(v) for k, v in observed.get.items()}
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -88,11 +88,18 @@ def with_gap_flag(
     )
 
 
+def dimension_counts(tidy: DataFrame) -> DataFrame:
+    """Rows per period and dimension. Distinct counts are taken over this small table, so the
+    facts are read once and not multiplied per counted column."""
+    return tidy.groupBy(
+        "period_date", "period_yyyymm", "mineral", "departamento", "unidad", "is_total_departamento"
+    ).agg(F.count("*").alias("n_rows"))
+
+
 def transform_report(base: DataFrame) -> DataFrame:
     """Row and distinct counts of the tidy table, as one row."""
-    tidy = tidy_observations(base)
-    return tidy.agg(
-        F.count("*").alias("rows_tidy"),
+    return dimension_counts(tidy_observations(base)).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_tidy"),
         F.count_distinct("period_date").alias("unique_periods"),
         F.count_distinct("mineral").alias("unique_minerales"),
         F.count_distinct("departamento").alias("unique_departamentos"),

@@ -446,18 +446,18 @@ def select_load_rows(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-def _months_before_last(df: DataFrame) -> Column:
-    last = df.agg(F.max("period_date")).scalar()
+def _months_before_last(spark: SparkSession, sf: str) -> Column:
+    last = star.last_month(spark, sf).scalar()
     return month_index(last) - month_index(F.col("period_date"))
 
 
 def _fact_merge(spark: SparkSession, sf: str) -> DataFrame:
     """A snapshot of preliminary values up to three months ago, merged with the last six."""
     facts = publish.fact_documents(_tidy(spark, sf))
-    age = _months_before_last(facts)
+    age = _months_before_last(spark, sf)
     preliminary = facts.filter(age >= 3).withColumn("value", F.floor(F.col("value") / 10) * 10.0)
     snapshot = publish.first_load(preliminary, FIRST_LOAD)
-    return publish.upsert(snapshot, facts.filter(age < 6), now=SECOND_LOAD, **publish.FACTS)
+    return publish.upsert(snapshot, facts.filter(age < 6), publish.FACTS["keys"], SECOND_LOAD)
 
 
 @query
@@ -474,7 +474,7 @@ def upsert_facts_counters(spark, sf):
 def upsert_aggregates(spark, sf):
     facts = _tidy(spark, sf)
     documents = publish.aggregate_documents(tidy.agg_mineral_period(facts), tidy.agg_departamento_period(facts))
-    age = _months_before_last(documents)
+    age = _months_before_last(spark, sf)
     snapshot = publish.first_load(documents.filter(age >= 3), FIRST_LOAD)
     # The second load carries no counts, so matched rows keep theirs.
     batch = documents.filter(age < 6).drop("n_departamentos", "n_minerales")
@@ -523,7 +523,8 @@ def upsert_predictions(spark, sf):
     documents = _documents(spark, sf)
     snapshot = publish.first_load(documents.filter(F.col("level") == DEPARTMENT_LEVEL), FIRST_LOAD)
     batch = documents.filter((F.col("level") == NATIONAL_LEVEL) | F.col("mineral").endswith("1"))
-    merged = publish.upsert(snapshot, batch, now=SECOND_LOAD, **publish.PREDICTIONS)
+    # All documents share one window, so there are no untouched months to set aside.
+    merged = publish.upsert(snapshot, batch, publish.PREDICTIONS["keys"], SECOND_LOAD)
     return merged.select(
         "prediction_id", "model", "level", "series_id", "forecast_window_start", "forecast_window_end",
         "forecast_window_months", "ingested_at", "updated_at", "write_status",
