@@ -83,7 +83,9 @@ def strip_accents(c: Column) -> Column:
     units, ...) are rare, so only texts that contain one are looked up character by character.
     """
     single, image, several = _ascii_folding()
-    expansions = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+    # One literal instead of a thousand: pairs and their halves split at control characters.
+    pairs = "\x02".join(f"{char}\x01{folded}" for char, folded in several.items())
+    expansions = F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
     foreign = F.regexp_replace(c, r"[\x00-\x7F]+", "")
     expanded = F.when(
         foreign.rlike(_character_class(list(several))),

@@ -23,10 +23,11 @@ def series_targets(tidy: DataFrame) -> DataFrame:
     of their detail.
     """
     is_total, value = F.col("is_total_departamento"), F.col("value")
-    keys = ["level", *PERIOD, "mineral", "departamento", "unidad"]
+    # The most selective keys lead: the rest follow from them and are rarely compared.
+    keys = ["period_date", "mineral", "departamento", "unidad", "level", *PERIOD[1:]]
     keyed = tidy.select(
-        F.when(is_total, NATIONAL_LEVEL).otherwise(DEPARTMENT_LEVEL).alias("level"),
         *PERIOD,
+        F.when(is_total, NATIONAL_LEVEL).otherwise(DEPARTMENT_LEVEL).alias("level"),
         "mineral",
         # The official spelling may vary in case; the series is national either way.
         F.when(is_total, "Total").otherwise(F.col("departamento")).alias("departamento"),

@@ -38,13 +38,17 @@ def first_official(value: Column, condition: Column, area: str = "departamento")
     return F.min_by(value, F.when(condition & value.isNotNull(), order))
 
 
+MINERAL_MEASURES = ["dept_sum_value", "n_departamentos", "official_total_value"]
+
+
 def agg_mineral_period(tidy: DataFrame) -> DataFrame:
     """Regional detail against the official total, per mineral, unit and period.
 
     Detail and total share their grouping keys, so one conditional aggregate gives what two
     aggregates and a left join would: keys without any detail row are dropped at the end.
     """
-    keys = [*PERIOD_KEYS, "mineral", "unidad"]
+    # The most selective keys lead: the rest follow from them and are rarely compared.
+    keys = ["period_date", "mineral", "unidad", *PERIOD_KEYS[1:]]
     detail = ~F.col("is_total_departamento")
     summed = (
         tidy.dropna(subset=keys)
@@ -58,6 +62,7 @@ def agg_mineral_period(tidy: DataFrame) -> DataFrame:
         .filter("detail_rows > 0")
         .drop("detail_rows")
     )
+    summed = summed.select(*PERIOD_KEYS, "mineral", "unidad", *MINERAL_MEASURES)
     official, gap = F.col("official_total_value"), F.col("abs_gap_vs_total")
     return summed.withColumn("abs_gap_vs_total", official - F.col("dept_sum_value")).withColumn(
         # The gap keeps its sign; its name is part of the table contract.

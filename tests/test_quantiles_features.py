@@ -12,9 +12,10 @@ def grouped(spark, data):
     return spark.createDataFrame(data, "g string, v double")
 
 
-@pytest.mark.parametrize("slices", [2, 7, 256])
-def test_quantiles_equal_pandas(spark, monkeypatch, slices):
+@pytest.mark.parametrize("slices, direct", [(2, 0), (7, 40), (256, 0), (256, 100_000)])
+def test_quantiles_equal_pandas(spark, monkeypatch, slices, direct):
     monkeypatch.setattr(quantiles, "SLICES", slices)
+    monkeypatch.setattr(quantiles, "DIRECT_VALUES", direct)
     rng = random.Random(slices)
     data = [(rng.choice(["a", "b", None]), float(rng.choice([rng.randint(0, 9), rng.gauss(0, 50)]))) for _ in range(900)]
     # A group with a third of all rows, a single-row group, and missing values.
