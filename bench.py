@@ -46,14 +46,17 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = {}
+
+    def run(name: str) -> float:
+        start = time.perf_counter()
+        CATALOG[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    # The warm-up goes through all queries before any is timed, so that none pays for the
+    # JVM's start alone.
     for name in names:
-        timings = []
-        for _ in range(RUNS + 1):
-            start = time.perf_counter()
-            CATALOG[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            timings.append(time.perf_counter() - start)
-        seconds[name] = round(statistics.median(timings[1:]), 3)
+        run(name)
+    seconds = {name: round(statistics.median(run(name) for _ in range(RUNS)), 3) for name in names}
     print(
         json.dumps(
             {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -327,11 +328,9 @@ def upsert_table(
     as it was. The counters come out of the same job.
     """
     touched = F.broadcast(batch.select(partition).distinct())
-    if table_exists(spark, path):
-        snapshot = spark.read.parquet(path).join(touched, partition, "left_semi")
-        merged = upsert(snapshot, batch, keys, now, nullable_keys)
-    else:
-        merged = upsert(first_load(batch, now).limit(0), batch, keys, now, nullable_keys)
+    stored = stored_table(spark, path)
+    snapshot = first_load(batch, now).limit(0) if stored is None else stored.join(touched, partition, "left_semi")
+    merged = upsert(snapshot, batch, keys, now, nullable_keys)
     observed = Observation("upsert")
     (
         merged.hint("rebalance", partition)
@@ -345,6 +344,11 @@ def upsert_table(
     return {k: int(v) for k, v in observed.get.items()}
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, or None before its first load."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

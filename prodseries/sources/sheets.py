@@ -44,7 +44,7 @@ def sheet_series(sheet: DataFrame) -> DataFrame:
             F.max(F.when(F.col("row_ord") == 0, F.col("cell"))).alias("code"),
             F.max(F.when(F.col("row_ord") == 1, F.col("cell"))).alias("description"),
         )
-        # An empty header cell reads as the text "nan" in the source workbook's own loader.
+        # An empty header cell reads as the text "nan".
         .select(
             "col_ord",
             normalize_text(F.coalesce("code", F.lit("nan"))).alias("series_code"),

@@ -38,5 +38,8 @@ def test_every_query_has_an_equivalent():
 def test_query(spark, duck, name):
     result = driver.queries()[name](spark, SF)
     mine = canonical(result.columns, result.collect())
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
+        assert operator not in plan
     cursor = duck.execute(driver.oracle_sql()[name])
     assert mine == canonical([d[0] for d in cursor.description], cursor.fetchall())
