@@ -7,7 +7,7 @@ import numpy as np
 _RNG = np.random.default_rng(20240917)
 BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+OTHER_BASE = 0xC2B2AE3D27D4EB4F
 _POWERS: dict[int, np.ndarray] = {}
 
 SPACE = np.zeros(256, dtype=bool)
@@ -34,11 +34,12 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def spans_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each buf[start:end]: equal bytes, equal hash, wherever they stand."""
+def spans_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE) -> np.ndarray:
+    """64-bit hash of each buf[start:end]: equal bytes, equal hash, wherever they stand.
+    Another odd ``base`` gives an independent hash."""
     sums = np.zeros(len(buf) + 1, dtype=np.uint64)
-    np.cumsum(BYTE[buf] * powers(BASE, len(buf)), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * powers(INVERSE, len(buf) + 1)[starts]
+    np.cumsum(BYTE[buf] * powers(base, len(buf)), out=sums[1:])
+    h = (sums[ends] - sums[starts]) * powers(pow(base, -1, 1 << 64), len(buf) + 1)[starts]
     return mixed(h + (ends - starts).astype(np.uint64))
 
 

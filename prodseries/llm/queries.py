@@ -4,16 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodseries.llm import decontamination, near_duplicates, sharding
+from prodseries.llm import decontamination, near_duplicates, packing, sharding, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The tokenizer file is a parameter; it is not part of the repository.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, width=2048)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -26,6 +38,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.token_folder(spark)
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, TOKENIZER)
+    return token_files.read_token_files(spark, path).drop("ids")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -44,7 +62,9 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_token_files": op4_token_files,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_sharding": op9_sharding,
 }
