@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prodseries.llm import decontamination, near_duplicates, packing, sharding, token_files
+from prodseries.llm import (
+    decontamination,
+    language_id,
+    line_chunks,
+    near_duplicates,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    token_files,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +54,20 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).drop("ids")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.rule_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's host is its source; its path, one level below, the source's language."""
+    path = F.concat_ws("/", "source", "lang")
+    return quality_classifier.posteriors(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), path)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -61,10 +85,24 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_chunks.without_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        "doc_id",
+        F.col("n_lines_").alias("n_lines"),
+        F.col("n_removed_").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
+    "op5_language_id": op5_language_id,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_sharding": op9_sharding,
+    "op10_line_chunks": op10_line_chunks,
 }
