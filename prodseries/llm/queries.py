@@ -17,6 +17,7 @@ from prodseries.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    substring_dedup,
     token_files,
 )
 
@@ -29,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.packed(table(spark, sf_dir, "documents"), TOKENIZER, width=2048)
     return pieces.select(
@@ -96,6 +102,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_arrays": op1_suffix_arrays,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_token_files": op4_token_files,
