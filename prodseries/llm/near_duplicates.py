@@ -175,39 +175,85 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * met >= percent * (F.size("sa") + F.size("sb") - met)).select("a", "b")
 
 
-def apart_pairs(members: DataFrame, least: float) -> DataFrame:
-    """Pairs of a bucket whose groups differ and whose estimate may reach the threshold.
-
-    ``members``: (key, n, doc_id, root, bits). Buckets over BLOCK members are dealt as pairs of
-    blocks, each of which is one bounded task group.
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    flat = column.combine_chunks().flatten() if column.num_chunks else pa.array([], pa.int64())
+    return np.asarray(flat, dtype=np.int64).view(np.uint64).reshape(-1, width)
+
+
+def block_candidates(table: pa.Table, most: int):
+    """For each member of the left block, the members of the right one that may be linked to it:
+    of another group, with ``most`` differing lanes at most, and with no earlier band in common
+    (so that a pair is looked at in one bucket only)."""
+    ids, root, own = (np.asarray(table[c], dtype=np.int64) for c in ("doc_id", "root", "own"))
+    bits, bands = _matrix(table["bits"], HASHES // LANES), _matrix(table["bands"], BANDS)
+    p, q, key = table["p"][0].as_py(), table["q"][0].as_py(), np.int64(table["key"][0].as_py()).view(np.uint64)
+    odd, one = np.uint64(0x5555555555555555), np.uint64(1)
+    right = np.flatnonzero(own == q)
+    for i in np.flatnonzero(own == p).tolist():
+        x = bits[right] ^ bits[i]
+        lanes = np.bitwise_count((x | (x >> one)) & odd).sum(axis=1)
+        hit = right[(lanes <= most) & (root[right] != root[i]) & ((ids[right] > ids[i]) if p == q else True)]
+        if len(hit):
+            first = (bands[hit] == bands[i]).argmax(axis=1)
+            hit = hit[bands[i][first] == key]
+            if len(hit):
+                yield i, hit
+
+
+def apart_links(members: DataFrame, sets: DataFrame, least: float, percent: int) -> DataFrame:
+    """Links (a, b) between members of a bucket that are in different groups.
+
+    ``members``: key, n, doc_id, root, bits, bands. Buckets over BLOCK members are dealt as
+    pairs of blocks, each of which is one bounded task group. Members whose estimates may reach
+    the threshold get their full sets, and are compared where they are: a row goes out for each
+    link that joins two groups, not for each pair.
     """
     blocks = F.ceil(F.col("n") / float(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    dealt = members.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "root", "bits"
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "root", "bits", "bands"
     )
-    most = int((1.0 - (least * (1 - 1 / (1 << LOW_BITS)) + 1 / (1 << LOW_BITS))) * HASHES)
+    chance = 1 / (1 << LOW_BITS)
+    most = int((1.0 - (least * (1 - chance) + chance)) * HASHES)
+
+    def near(table: pa.Table) -> pa.Table:
+        some = np.zeros(table.num_rows, dtype=bool)
+        for i, hit in block_candidates(table, most):
+            some[i] = some[hit] = True
+        return table.filter(pa.array(some))
 
     def compare(table: pa.Table) -> pa.Table:
         ids = np.asarray(table["doc_id"], dtype=np.int64)
-        root = np.asarray(table["root"], dtype=np.int64)
-        own = np.asarray(table["own"], dtype=np.int64)
-        bits = np.array(table["bits"].to_pylist(), dtype=np.int64).view(np.uint64)
-        p, q = table["p"][0].as_py(), table["q"][0].as_py()
-        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        odd, one = np.uint64(0x5555555555555555), np.uint64(1)
-        found_a, found_b = [], []
-        for i in left:
-            x = bits[right] ^ bits[i]
-            lanes = np.bitwise_count((x | (x >> one)) & odd).sum(axis=1)
-            hit = right[(lanes <= most) & (root[right] != root[i]) & ((ids[right] > ids[i]) if p == q else True)]
-            found_a.append(np.minimum(ids[hit], ids[i]))
-            found_b.append(np.maximum(ids[hit], ids[i]))
-        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (found_a, found_b))
-        return pa.table({"a": a, "b": b})
-
-    return dealt.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+        sets = [np.asarray(s.values, dtype=np.int64) for s in table["shingles"].combine_chunks()] if table.num_rows else []
+        size = np.array([len(s) for s in sets])
+        group = {int(r): int(r) for r in np.unique(np.asarray(table["root"], dtype=np.int64))}
+        root = np.asarray(table["root"], dtype=np.int64).tolist()
+
+        def top(g: int) -> int:
+            while group[g] != g:
+                group[g] = g = group[group[g]]
+            return g
+
+        found = []
+        for i, hit in block_candidates(table, most):
+            mine = top(root[i])
+            hit = np.array([j for j in hit.tolist() if top(root[j]) != mine], dtype=np.int64)
+            if not len(hit):
+                continue
+            values = np.concatenate([sets[j] for j in hit.tolist()])
+            at = np.minimum(np.searchsorted(sets[i], values), size[i] - 1)
+            met = np.add.reduceat((sets[i][at] == values).astype(np.int64), np.cumsum(size[hit]) - size[hit])
+            for j in hit[100 * met >= percent * (size[i] + size[hit] - met)].tolist():
+                a, b = top(root[i]), top(root[j])
+                if a != b:
+                    group[max(a, b)] = min(a, b)
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
+
+    schema = "key long, p int, q int, own int, doc_id long, root long, bits array<long>, bands array<long>"
+    wanted = dealt.groupBy("key", "p", "q").applyInArrow(near, schema)
+    ordered = sets.select("doc_id", F.sort_array("shingles").alias("shingles"))
+    return wanted.join(ordered, "doc_id").groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,9 +291,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     apart = members.join(grouped, "doc_id")
     several = apart.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-    rest = apart_pairs(apart.join(several, "key", "left_semi").join(bits, "doc_id").select("key", "n", "doc_id", "root", "bits"), least)
-    fresh = rest.join(close, ["a", "b"], "left_anti")
-    more = written(confirmed(fresh, sets, percent), "block-links")
+    marks = solid.select("doc_id", "bits", "bands")
+    rest = apart.join(several, "key", "left_semi").join(marks, "doc_id").select("key", "n", "doc_id", "root", "bits", "bands")
+    more = written(apart_links(rest, sets, least, percent), "block-links")
     roots = connected(grouped.select("doc_id"), links.union(more)) if more.limit(1).count() else grouped
 
     whole = folded.select("digest", F.col("doc_id").alias("first_id")).join(
