@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseries.llm import decontamination, line_chunks, near_duplicates, packing, quality_classifier
-from prodseries.llm.common import written
+from prodseries.llm.common import free_name, written
 from prodseries.llm.queries import TOKENIZER, table
 
 
@@ -24,8 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Multi-line chunks that an earlier document has are cut out; n_chars follows the text."""
-    cleaned = line_chunks.without_repeats(docs)
-    changed = F.when(F.col("n_removed_") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    removed = free_name(docs, "n_removed")
+    cleaned = line_chunks.without_repeats(docs, lines_col=free_name(docs, "n_lines"), removed_col=removed)
+    changed = F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", changed).select(*docs.columns)
 
 

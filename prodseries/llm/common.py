@@ -51,3 +51,10 @@ def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     """Hint a broadcast after counting the rows of a written table; beyond the bound the
     planner is left to shuffle."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name in df.columns:
+        name += "_"
+    return name

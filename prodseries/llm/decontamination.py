@@ -127,7 +127,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     strings, of items that occur), contaminated.
 
     Null and empty texts have no words. Rows that repeat an id with the same text give equal
-    rows; ids are expected to name one text. A null id never matches. Empty tables give an
+    rows; ids are expected to name one text. A null id never matches; an item with a
+    null id makes hits but is not named. Empty tables give an
     empty result, or clean documents; other columns are not read.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

@@ -1,10 +1,10 @@
 """Removal of repeated multi-line chunks.
 
 A rolling hash over the hashes of neighbouring lines is taken at every line; a chunk ends where
-that hash is smaller than at the lines around it. Boundaries depend on nearby lines only, so
-text inserted before a passage does not shift the chunks inside it, and a chunk inside a text
-has two lines at least. Chunks whose hashes repeat anywhere in the corpus are compared byte by
-byte with their first occurrence (smallest document, then place), and equal ones are removed.
+it is even, at every second line on average. Boundaries depend on nearby lines only, so text
+inserted before a passage does not shift the chunks inside it. Chunks of two lines or more whose
+hashes repeat anywhere in the corpus are compared byte by byte with their first occurrence
+(smallest document, then place), and equal ones are removed.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from prodseries.llm.common import BROADCAST_BYTES, written
 from prodseries.llm.hashing import OTHER_BASE, mixed, spans_hash
 
-ROLLING = 2
+# Lines under the rolling hash, and of how many places one is a boundary.
+ROLLING, EVERY = 2, 2
 
 
 def chunk_lines(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -34,7 +35,7 @@ def chunk_lines(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for back in range(1, ROLLING):
         rolling[back:] += lines[:-back] * np.uint64(2 * back + 1)
     rolling = mixed(rolling)
-    inner = np.flatnonzero((rolling[1:-1] < rolling[:-2]) & (rolling[1:-1] <= rolling[2:])) + 2
+    inner = np.flatnonzero(rolling[1:-1] % np.uint64(EVERY) == 0) + 2
     first = np.unique(np.concatenate(([0], inner, [len(lines)])))
     a, b = at[first[:-1]], at[first[1:]] - 1
     return at, first, np.stack([spans_hash(buf, a, b), spans_hash(buf, a, b, OTHER_BASE)], axis=1).view(np.int64)
@@ -116,9 +117,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return written(compared.filter(F.col("data") == F.col("first_data")).select("row", "chunk"), "repeated")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns, with ``text_col`` cleared of repeated chunks, and n_lines_ and
-    n_removed_ (lines before, lines removed) added.
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    lines_col: str = "n_lines", removed_col: str = "n_removed") -> DataFrame:
+    """All rows and columns, with ``text_col`` cleared of repeated chunks, and the numbers of
+    lines before and of lines removed added; they replace columns of those names.
 
     The first occurrence, by id, stays; removed chunks take their line breaks with them. Null
     texts stay null; chunks without a character stay; a text that loses every line is empty.
@@ -157,7 +159,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     schema = joined.select("all", F.col("text").cast(text_type), F.lit(0).cast("long").alias("n_lines_"), F.lit(0).cast("long").alias("n_removed_")).schema
     cleaned = joined.mapInArrow(drop, schema)
     return cleaned.select(
-        *[F.col("text").alias(c) if c == text_col else F.col("all")[c].alias(c) for c in names], "n_lines_", "n_removed_"
+        *[F.col("text").alias(c) if c == text_col else F.col("all")[c].alias(c) for c in names if c not in (lines_col, removed_col)],
+        F.col("n_lines_").alias(lines_col),
+        F.col("n_removed_").alias(removed_col),
     )
 
 

@@ -188,5 +188,5 @@ def kept_documents(docs: DataFrame, labels: DataFrame, host: Column, path: Colum
     """The documents whose posterior is not below a half, with all their columns."""
     found = posteriors(docs, labels, host, path, id_col, text_col)
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = written(gone, "rejected")
-    return docs.join(maybe_broadcast(gone, 32), docs[id_col].cast("long").eqNullSafe(F.col("gone_id")), "left_anti")
+    gone = maybe_broadcast(written(gone, "rejected"), 32)
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")

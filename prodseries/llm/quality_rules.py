@@ -139,9 +139,9 @@ def statistics(docs: DataFrame) -> DataFrame:
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """At most ``rows`` labelled documents, those with the smallest hash of their id."""
     chosen = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", F.coalesce("toxic", F.lit(0)).alias("toxic"))
+        labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+        .agg(F.min("quality").alias("quality"), F.coalesce(F.max("toxic"), F.lit(0)).alias("toxic"))
         .dropna(subset=["doc_id", "quality"])
-        .dropDuplicates(["doc_id"])
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
@@ -154,8 +154,8 @@ def rule_verdicts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Per row: doc_id, the COUNTS, base_failed, score and kept.
 
     Null and empty texts have no words and fail the base rules. Without labels every document
-    scores 0.5. Repeated rows and null ids are scored alike; labels that repeat an id count
-    once. Empty table: empty result; other columns are not read.
+    scores 0.5. Repeated rows and null ids are scored alike; of labels that
+    repeat an id the worse counts. Empty table: empty result; other columns are not read.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sample = labelled_sample(base, labels, sample_rows)

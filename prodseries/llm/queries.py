@@ -95,8 +95,8 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_chunks.without_repeats(table(spark, sf_dir, "documents"))
     return cleaned.select(
         "doc_id",
-        F.col("n_lines_").alias("n_lines"),
-        F.col("n_removed_").alias("n_removed"),
+        "n_lines",
+        "n_removed",
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
 
