@@ -46,10 +46,20 @@ _RULE_TEXT = {
     "R09": "unidad belongs to allowed domain",
     "R10": "Base dataset has no rows flagged as missing or invalid numeric",
 }
-_MANDATORY = (
-    "source_dataset period_raw period_date year month series_code series_description mineral departamento"
-    " unidad value"
-).split()
+# The columns that may not be NULL.
+_MANDATORY = [
+    "source_dataset",
+    "period_raw",
+    "period_date",
+    "year",
+    "month",
+    "series_code",
+    "series_description",
+    "mineral",
+    "departamento",
+    "unidad",
+    "value",
+]
 
 
 def _rule(rule: str, passed: str, detail: str, source: str = "") -> str:
@@ -73,10 +83,7 @@ def rules_sql(table: str) -> str:
     negative = f"(SELECT count(*) FILTER (WHERE value < 0) FROM {table})"
     surplus = f"""(SELECT coalesce(sum(n - 1), 0)::BIGINT FROM
         (SELECT count(*) AS n FROM {table} GROUP BY period_date, series_code))"""
-    units = f"""(SELECT list_sort(list(DISTINCT unidad) FILTER (WHERE unidad NOT IN ('tm.f','kg.f','grs.f')))
-        FROM {table})"""
-    unit_text = f"""CASE WHEN {units} IS NULL THEN '[]'
-        ELSE '[''' || array_to_string({units}, ''', ''') || ''']' END"""
+    units = f"(SELECT count(DISTINCT unidad) FILTER (WHERE unidad NOT IN ('tm.f','kg.f','grs.f')) FROM {table})"
     missing = f"(SELECT count(*) FILTER (WHERE is_missing) FROM {table})"
     invalid = f"(SELECT count(*) FILTER (WHERE is_invalid_numeric) FROM {table})"
     rows = f"(SELECT count(*) FROM {table})"
@@ -92,7 +99,7 @@ def rules_sql(table: str) -> str:
                 "R07", f"{nan} = 0 AND {negative} = 0", f"'nan_values=' || {nan} || ' negative_values=' || {negative}"
             ),
             _rule("R08", f"{surplus} = 0", f"'duplicate_keys=' || {surplus}"),
-            _rule("R09", f"{units} IS NULL", f"'invalid_units=' || {unit_text}"),
+            _rule("R09", f"{units} = 0", f"'invalid_units=' || {units}"),
             _rule(
                 "R10",
                 f"{missing} = 0 AND {invalid} = 0",
@@ -198,11 +205,9 @@ BLOCKS["trend"] = """
   SELECT period_date, mineral, coalesce(sum(value), 0) AS value
   FROM tidy WHERE is_total_departamento AND unidad = 'tm.f' GROUP BY period_date, mineral"""
 FACTS["official_trend"] = "SELECT * FROM trend"
-FACTS["trend_pivot"] = (
-    "SELECT period_date, "
-    + ", ".join(f"max(value) FILTER (WHERE mineral = 'Brand#{n}') AS \"Brand_{n}\"" for n in range(3, 26, 3))
-    + " FROM trend GROUP BY period_date"
-)
+FACTS["trend_pivot"] = """
+SELECT * FROM (PIVOT (SELECT period_date, replace(mineral, '#', '_') AS mineral, value FROM trend)
+  ON mineral USING max(value) GROUP BY period_date)"""
 FACTS["eda_summary"] = """
 SELECT min(period_date) AS period_min, max(period_date) AS period_max,
        count(DISTINCT period_yyyymm) AS n_periods, count(DISTINCT mineral) AS n_minerales,

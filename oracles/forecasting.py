@@ -180,14 +180,12 @@ FORECASTING["operational_forecast_by_level"] = (
 FORECASTING["operational_skipped"] = """
 SELECT DISTINCT level, series_id, l.model, 'insufficient_history(len=' || n_rows || ')' AS reason
 FROM hist JOIN level_best l USING (level) WHERE n_rows < 82"""
-FORECASTING["executive_pivot"] = (
-    f"SELECT {_CONTEXT}, selected_model, last_observed_period, "
-    + ", ".join(
-        f"round(max(forecast_value) FILTER (WHERE forecast_period_yyyymm = '2025-{m:02d}'), 4) AS m_2025_{m:02d}"
-        for m in range(1, 12)
-    )
-    + f" FROM frozen GROUP BY {_CONTEXT}, selected_model, last_observed_period"
-)
+FORECASTING["executive_pivot"] = f"""
+SELECT * FROM (PIVOT (
+    SELECT {_CONTEXT}, selected_model, last_observed_period, forecast_value,
+           'm_' || replace(forecast_period_yyyymm, '-', '_') AS month
+    FROM frozen)
+  ON month USING round(max(forecast_value), 4) GROUP BY {_CONTEXT}, selected_model, last_observed_period)"""
 FORECASTING["model_usage"] = """
 SELECT level, selected_model, count(DISTINCT series_id) AS series_count FROM frozen GROUP BY ALL"""
 FORECASTING["series_coverage"] = """

@@ -24,6 +24,7 @@ _NUMBER = (
 
 _NON_ASCII = r"[^\x00-\x7F]"
 
+# The forms of a series description and of a period token.
 _SERIES = r"^(.+?) - (.+?) - (.+?) \(([^)]+)\)$"
 _PERIOD = r"^([A-Za-z]{3})([0-9]{2})$"
 
@@ -80,18 +81,18 @@ def strip_accents(c: Column) -> Column:
     """Fold to ASCII: decompose compatibility characters and drop whatever is not ASCII.
 
     ASCII texts pass through untouched. Characters that expand (ligatures, fractions, squared
-    units, ...) are rare, so only texts that contain one are looked up character by character.
+    units, ...) are few in any text: the distinct ones are looked up and replaced in turn.
     """
     single, image, several = _ascii_folding()
     # One literal instead of a thousand: pairs and their halves split at control characters.
     pairs = "\x02".join(f"{char}\x01{folded}" for char, folded in several.items())
     expansions = F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x01"))
     foreign = F.regexp_replace(c, r"[\x00-\x7F]+", "")
+    expanding = _character_class(list(several))
+    found = F.array_distinct(F.regexp_extract_all(foreign, F.lit(expanding), F.lit(0)))
     expanded = F.when(
-        foreign.rlike(_character_class(list(several))),
-        F.array_join(
-            F.transform(F.split(c, ""), lambda ch: F.coalesce(F.element_at(expansions, ch), ch)), ""
-        ),
+        foreign.rlike(expanding),
+        F.aggregate(found, c, lambda text, ch: F.replace(text, ch, F.element_at(expansions, ch))),
     ).otherwise(c)
     folded = F.regexp_replace(F.translate(expanded, single, image), _NON_ASCII, "")
     return F.when(c.rlike(_NON_ASCII), folded).otherwise(c)
@@ -136,7 +137,7 @@ def parse_numeric(raw: Column) -> Column:
     """
     token = F.lower(strip_accents(normalize_text(raw)))
     missing = token.isNull() | token.isin(MISSING_TOKENS)
-    digits = F.replace(token, F.lit(","), F.lit(""))
+    digits = F.trim(F.replace(token, F.lit(","), F.lit("")))
     signed_nan = digits.rlike(r"^[+-]?nan$")
     number = digits.rlike(_NUMBER)
     value = F.when(

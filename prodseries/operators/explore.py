@@ -98,8 +98,8 @@ def official_trend(tidy: DataFrame, unit: str = METRIC_TONNES) -> DataFrame:
     )
 
 
-def trend_pivot(tidy: DataFrame, minerals: list[str], unit: str = METRIC_TONNES) -> DataFrame:
-    """The trend with one column per mineral. Naming the minerals keeps the plan to one pass."""
+def trend_pivot(tidy: DataFrame, minerals: list[str] | None = None, unit: str = METRIC_TONNES) -> DataFrame:
+    """The trend with one column per mineral: those of the unit, or the named ones in one pass."""
     return official_trend(tidy, unit).groupBy("period_date").pivot("mineral", minerals).agg(F.first("value"))
 
 

@@ -23,6 +23,8 @@ from prodseries.schemas import (
 
 STRATEGIES = ["incremental", "full_refresh"]
 FLAT_TOLERANCE = 1e-12
+# Settings a forecast report may have recorded.
+SOURCE_FIELDS = {"selection_mode": "string", "dynamic_tolerance_pct": "double"}
 
 
 def as_timestamp(now: datetime | str | Column) -> Column:
@@ -178,8 +180,11 @@ def prediction_documents(forecasts: DataFrame, metadata: dict[str, object] | Non
         )
         .filter("n_points > 0")
     )
+    # One shape whatever a report recorded, so that loads with and without it merge.
+    known = metadata or {}
     source = [F.lit("fase8_operational").alias("phase")]
-    source += [F.lit(v).alias(k) for k, v in (metadata or {}).items()]
+    source += [F.lit(known.get(k)).cast(kind).alias(k) for k, kind in SOURCE_FIELDS.items()]
+    source += [F.lit(v).alias(k) for k, v in known.items() if k not in SOURCE_FIELDS]
     return grouped.select(
         F.concat_ws(
             "|", *keys, m.yyyymm(F.col("forecast_window_start")), m.yyyymm(F.col("forecast_window_end"))
@@ -247,8 +252,7 @@ def upsert(
     """
     if partition is None:
         return _merge(snapshot, batch, keys, now, nullable_keys or [])
-    # Distinct months: at most 1,200 in a century.
-    touched = F.broadcast(batch.select(partition).distinct())
+    touched = batch.select(partition).distinct()
     merged = _merge(snapshot.join(touched, partition, "left_semi"), batch, keys, now, nullable_keys or [])
     resting = snapshot.join(touched, partition, "left_anti").withColumn("write_status", F.lit("kept"))
     return merged.unionByName(resting, allowMissingColumns=True)
@@ -323,11 +327,13 @@ def upsert_table(
 ) -> dict[str, int]:
     """Upsert into a Parquet table stored by month and return the counters.
 
-    Only the months of the batch are read, merged and replaced. The new files are staged and
-    moved in when the whole write has succeeded, so a failed or retried task leaves the table
-    as it was. The counters come out of the same job.
+    Only the months of the batch are read, merged and replaced; columns that any stored month
+    has are kept. The new files are staged and moved in month by month once the whole write has
+    succeeded, so a failed or retried task leaves the table as it was; a failure of the driver
+    while files move can leave some months new and others old, and loading the batch again
+    completes them. The counters come out of the same job.
     """
-    touched = F.broadcast(batch.select(partition).distinct())
+    touched = batch.select(partition).distinct()
     stored = stored_table(spark, path)
     snapshot = first_load(batch, now).limit(0) if stored is None else stored.join(touched, partition, "left_semi")
     merged = upsert(snapshot, batch, keys, now, nullable_keys)
@@ -347,7 +353,8 @@ def upsert_table(
 def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first load."""
     try:
-        return spark.read.parquet(path)
+        # Months written before a column existed lack it; the others must not lose it.
+        return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -7,11 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group with at most this many values is ranked as it is.
-DIRECT_VALUES = 100_000
-
-# A larger group is cut into this many slices first. Only the slices that hold a wanted rank
-# are sorted, so one task orders about 1/SLICES of such a group's distinct values.
+# Every group is cut into this many slices at most. Only the slices that hold a wanted rank are
+# sorted, so one task orders about 1/SLICES of a group's distinct values.
 SLICES = 256
 
 
@@ -43,19 +40,14 @@ def _slice_number() -> Column:
 def exact_quantiles(counts: DataFrame, groups: list[str], fractions: list[float]) -> DataFrame:
     """Linearly interpolated quantiles of ``value`` per group: columns ``q0, q1, ...``.
 
-    1. A mergeable sketch proposes cut points for large groups (only balance depends on them).
+    1. A mergeable sketch proposes cut points for each group (only balance depends on them).
     2. Exact counts per slice locate the slices that contain the wanted ranks.
     3. Only those slices are ranked.
     """
     cut_points = [i / SLICES for i in range(1, SLICES)]
     # Every branch reads the multiplicities, so all of them share the one shuffle of ``counts``.
-    large = counts.groupBy(*groups).agg(F.sum("copies").alias("size")).filter(F.col("size") > DIRECT_VALUES)
     present = F.when(F.col("copies") > 0, F.col("value"))
-    cuts = (
-        join_null_safe(counts, large, groups, "left_semi")
-        .groupBy(*groups)
-        .agg(F.percentile_approx(present, cut_points, 10 * SLICES).alias("cuts"))
-    )
+    cuts = counts.groupBy(*groups).agg(F.percentile_approx(present, cut_points, 10 * SLICES).alias("cuts"))
     sliced = join_null_safe(counts, cuts, groups, "left").withColumn("slice", _slice_number()).drop("cuts")
 
     running = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -93,8 +93,7 @@ def operational_forecast(
     start = window_start if isinstance(window_start, Column) else F.lit(window_start)
     end = window_end if isinstance(window_end, Column) else F.lit(window_end)
 
-    # One row per level, two levels: small by construction.
-    levels = F.broadcast(require_levels(select_by_level(board)))
+    levels = require_levels(select_by_level(board))
     state = fit_series(order_history(history), F.lit(0), []).join(levels, "level", "left")
     if mode == "level_mae":
         state = state.withColumn("series_model", F.lit(None).cast("string"))
@@ -114,6 +113,7 @@ def operational_forecast(
                 F.concat(F.lit("insufficient_history(len="), F.col("n_rows").cast("string"), F.lit(")")),
             )
             .when(F.col("horizon") < 1, "no_future_window")
+            .when(F.col("primary").isNull(), "no_selected_model")
             .when(
                 F.col("primary_reason").isNotNull() & (primary == fallback), F.col("primary_reason")
             )
@@ -168,8 +168,8 @@ def window_months(start: date, end: date) -> list[str]:
 
 
 def executive_table(forecasts: DataFrame, months: list[str] | None = None) -> DataFrame:
-    """One row per series, one column per month of the window, always all of them, in order."""
-    months = window_months(WINDOW_START, WINDOW_END) if months is None else months
+    """One row per series, one column per month, in order: the named ones, always all of them,
+    or else those that the forecasts have."""
     return (
         forecasts.groupBy(*FORECAST_CONTEXT, "selected_model", "last_observed_period")
         .pivot("forecast_period_yyyymm", months)

@@ -238,9 +238,8 @@ def official_trend(spark, sf):
 
 @query
 def trend_pivot(spark, sf):
-    minerals = [f"Brand#{n}" for n in range(3, 26, 3)]
-    pivoted = explore.trend_pivot(_tidy(spark, sf), minerals)
-    return pivoted.withColumnsRenamed({m: m.replace("#", "_") for m in minerals})
+    pivoted = explore.trend_pivot(_tidy(spark, sf))
+    return pivoted.withColumnsRenamed({m: m.replace("#", "_") for m in pivoted.columns})
 
 
 @query
@@ -410,13 +409,10 @@ def operational_skipped(spark, sf):
     return _operational(spark, sf, min_train=STRICT_MIN_TRAIN + 2).operational.skipped
 
 
-EXECUTIVE_MONTHS = [f"2025-{m:02d}" for m in range(1, 12)]
-
-
 @query
 def executive_pivot(spark, sf):
-    table = selection.executive_table(_operational(spark, sf).forecasts, EXECUTIVE_MONTHS)
-    names = {m: "m_" + m.replace("-", "_") for m in EXECUTIVE_MONTHS}
+    table = selection.executive_table(_operational(spark, sf).forecasts)
+    names = {m: "m_" + m.replace("-", "_") for m in table.columns if m[0].isdigit()}
     return rounded(table.withColumnsRenamed(names), 4, *names.values())
 
 

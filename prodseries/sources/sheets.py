@@ -6,28 +6,58 @@ token (ignored in the two header rows) and ``cells[k]`` belongs to column ``k``.
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseries.functions.text import normalize_text, parse_period, parse_series_metadata
 
-# The CSV reader refuses rows wider than this, which also bounds the header that
-# ``sheet_to_long`` broadcasts.
-MAX_SHEET_COLUMNS = 20480
+# Rows handed on at a time while a sheet is read.
+_ROWS = 256
 
 
 def read_sheet(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Read one delimited sheet as text cells, in file order.
+    """Read one delimited sheet as text cells, in file order, with or without a byte order mark.
 
-    File order comes from the scan itself: ids grow along the splits of a single file, so no
-    shuffle is needed to number the rows.
+    Cells may hold quotes (doubled), delimiters and line breaks, so a file is read by one task;
+    rows may be of any width and are kept whole. An empty cell is NULL.
     """
-    rows = spark.read.csv(
-        path, header=False, sep=delimiter, inferSchema=False, maxColumns=MAX_SHEET_COLUMNS, encoding="UTF-8"
-    )
-    return rows.select(
-        F.monotonically_increasing_id().alias("row_ord"), F.array(*rows.columns).alias("cells")
-    )
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A cell may be longer than the parser's default bound.
+        csv.field_size_limit(1 << 31)
+        for batch in batches:
+            for content in batch.column("content"):
+                text = io.TextIOWrapper(io.BytesIO(content.as_py()), encoding="utf-8-sig", newline="")
+                held: list[list[str | None]] = []
+                number = 0
+
+                def out() -> pa.RecordBatch:
+                    return pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(range(number - len(held), number), pa.int64()),
+                            pa.array(held, pa.list_(pa.string())),
+                        ],
+                        names=["row_ord", "cells"],
+                    )
+
+                for row in csv.reader(text, delimiter=delimiter):
+                    if not row:
+                        continue
+                    held.append([cell or None for cell in row])
+                    number += 1
+                    if len(held) == _ROWS:
+                        yield out()
+                        held = []
+                if held:
+                    yield out()
+
+    files = spark.read.format("binaryFile").load(path).select("content")
+    return files.mapInArrow(rows, "row_ord long, cells array<string>")
 
 
 def sheet_series(sheet: DataFrame) -> DataFrame:
@@ -76,5 +106,4 @@ def sheet_to_long(sheet: DataFrame) -> DataFrame:
         .select("row_ord", "period_raw", "period_date", F.posexplode("cells").alias("col_ord", "value_raw"))
         .filter(F.col("col_ord") > 0)
     )
-    # One header row of one sheet: at most MAX_SHEET_COLUMNS entries.
-    return cells.join(F.broadcast(sheet_series(sheet)), "col_ord")
+    return cells.join(sheet_series(sheet), "col_ord")

@@ -9,35 +9,48 @@ from pyspark.sql import types as T
 from prodseries.functions.measures import nan_to_null
 from prodseries.schemas import FORECAST_CONTEXT, OPERATIONAL_SCHEMA, require_columns
 
+# Doubled quotes, line breaks within cells, and blanks kept as they are. Reading makes a file one
+# task, so large tables come as several files.
+CSV_FORMAT = {
+    "quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
 
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Scan a stage table. CSV text is coerced: a cell that does not fit its type is NULL."""
+    """Scan a stage table. CSV text is coerced: a cell that is empty or does not fit its type is
+    NULL."""
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if fmt != "csv":
         raise ValueError(f"Unsupported format: {fmt}")
-    text = spark.read.csv(path, header=True, inferSchema=False)
-    if schema is None:
-        return text
+    text = spark.read.csv(path, header=True, inferSchema=False, **CSV_FORMAT)
     # An exported file may start with a byte order mark.
     text = text.toDF(*[c.lstrip("\ufeff") for c in text.columns])
+    if schema is None:
+        return text
     require_columns(text, schema.fieldNames(), path)
     return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, bom: bool = False
 ) -> None:
-    """Replace a stage table as a whole."""
+    """Replace a stage table as a whole. ``bom`` starts every CSV file with a byte order mark,
+    as spreadsheet programs expect it."""
     if fmt not in ("parquet", "csv"):
         raise ValueError(f"Unsupported format: {fmt}")
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        if bom:
+            df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
+            writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer = writer.partitionBy(*partition_by) if partition_by else writer
+        kept = {k: v for k, v in CSV_FORMAT.items() if k != "multiLine"}
+        writer.options(header=True, **kept).csv(path)
     else:
         writer.parquet(path)
 

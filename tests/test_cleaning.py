@@ -112,3 +112,33 @@ def test_typed_loads(spark):
     )
     # A row without a value stays, a row without a model goes.
     assert [r.forecast_value for r in as_operational_forecasts(frozen).collect()] == [None]
+
+
+def test_sheet_cells_with_quotes_and_line_breaks_and_rows_of_any_width(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text(
+        '\ufeffperiodo,"code ""x"", y","two\nlines"\nx,d1,d2\nAbr24,1,77,88\n\nMay24,,\n', encoding="utf-8"
+    )
+    rows = [(r.row_ord, r.cells) for r in read_sheet(spark, str(path)).orderBy("row_ord").collect()]
+    assert rows == [
+        (0, ["periodo", 'code "x", y', "two\nlines"]),
+        (1, ["x", "d1", "d2"]),
+        (2, ["Abr24", "1", "77", "88"]),
+        (3, ["May24", None, None]),
+    ]
+
+
+def test_csv_tables_keep_their_text(spark, tmp_path):
+    from prodseries.sources.tables import read_table, write_table
+
+    df = spark.createDataFrame(
+        [('say "hi", twice', 1), ("two\nlines", 2), ("  blanks  ", 3), ("", 4), (None, 5)], "t string, n int"
+    )
+    for bom in (False, True):
+        path = str(tmp_path / f"t{bom}")
+        write_table(df, path, "csv", bom=bom)
+        for schema in (None, df.schema):
+            back = read_table(spark, path, schema, "csv")
+            assert back.columns == ["t", "n"]
+            assert {int(r.n): r.t for r in back.collect()} == {r.n: r.t or None for r in df.collect()}
+    assert any(p.read_bytes().startswith(b"\xef\xbb\xbf") for p in (tmp_path / "tTrue").glob("*.csv"))

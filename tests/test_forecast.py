@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import datetime
 import math
 
@@ -301,3 +302,10 @@ def test_leaderboard_means_skip_unknown_metrics(spark):
         "level string, series_id string, model string, mae double, rmse double, mape double, smape double",
     )
     assert tuple(forecast.leaderboard(table).first()) == ("l", "naive", 2, 2.0, 2.0, 4.0, 2.0)
+
+
+def test_a_level_without_a_model_is_logged(spark):
+    h = history(spark, {"s": noisy(30)}).withColumn("level", F.lit("another"))
+    out = selection.operational_forecast(h, board(spark), None, "level_mae", D(2020, 8, 1), D(2030, 9, 1))
+    assert out.forecasts.count() == 0
+    assert [(r.model, r.reason) for r in out.skipped.collect()] == [(None, "no_selected_model")]

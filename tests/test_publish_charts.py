@@ -135,7 +135,9 @@ def test_prediction_documents(spark):
     assert [p.forecast_period_yyyymm for p in s.forecasts] == ["2024-01", "2024-03"]
     assert s.forecast_stats.is_flat_forecast and s.forecast_stats.mean_value == 2.0
     assert docs["u"].mineral is None and not docs["u"].forecast_stats.is_flat_forecast
-    assert s.source.asDict() == {"phase": "fase8_operational", "selection_mode": "level_mae"}
+    assert s.source.asDict() == {
+        "phase": "fase8_operational", "selection_mode": "level_mae", "dynamic_tolerance_pct": None,
+    }
     summary = {r.model: (r.documents, r.flat_documents) for r in publish.prediction_summary(publish.prediction_documents(df)).collect()}
     assert summary == {"naive": (1, 1), "seasonal_ar": (1, 0)}
 
@@ -189,3 +191,28 @@ def test_smoothing_includes_the_current_row(spark):
     assert [r.actual_trend for r in rows] == [1.0, 1.5, 2.0, 3.0]
     assert [r.predicted_trend for r in rows] == [2.0, 3.0, 4.0, 6.0]
     assert [r.residual for r in rows] == [-1.0, -2.0, -3.0, -4.0]
+
+
+def test_columns_of_an_earlier_load_stay(spark, tmp_path):
+    """A batch that lacks a column must not take it from the months it rewrites."""
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(datetime.date(2024, 1, 1), "a", 1.0)], "period_date date, k string, value double")
+    extra = spark.createDataFrame(
+        [(datetime.date(2024, 1, 1), "b", 2.0, "kept")], "period_date date, k string, value double, extra string"
+    )
+    for batch in (first, extra, first):
+        publish.upsert_table(spark, path, batch, ["period_date", "k"], "2024-02-01 00:00:00")
+    rows = {r.k: (r.value, r.extra) for r in publish.stored_table(spark, path).collect()}
+    assert rows == {"a": (1.0, None), "b": (2.0, "kept")}
+
+
+def test_documents_with_and_without_metadata_merge(spark):
+    forecasts = spark.createDataFrame(
+        [("m", "l", "s", "min", "dep", "u", datetime.date(2024, 1, 1), datetime.date(2024, 2, 1), "2024-02", 3.0)],
+        "selected_model string, level string, series_id string, mineral string, departamento string, unidad string,"
+        " last_observed_period date, forecast_period_date date, forecast_period_yyyymm string, forecast_value double",
+    )
+    snapshot = publish.first_load(publish.prediction_documents(forecasts), "2024-02-01 00:00:00")
+    batch = publish.prediction_documents(forecasts, {"selection_mode": "level_mae", "dynamic_tolerance_pct": 10})
+    row = publish.upsert(snapshot, batch, publish.PREDICTIONS["keys"], "2024-03-01 00:00:00").first()
+    assert row.write_status == "matched" and row.source.selection_mode == "level_mae"
