@@ -9,6 +9,7 @@ CLEANING: dict[str, str] = {}
 _SPACE = (
     r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
+# Damaged words and their repair.
 _REPAIRS = {
     "Producci�n": "Producción",
     "seg�n": "según",

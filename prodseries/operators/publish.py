@@ -96,7 +96,11 @@ def aggregate_documents(
     ok_max: float = GAP_OK_MAX,
     warning_max: float = GAP_WARNING_MAX,
 ) -> DataFrame:
-    """Both aggregates in one table; the dimension a level does not use is NULL."""
+    """Both aggregates in one table; the dimension a level does not use is NULL.
+
+    Months spelled in two ways give two aggregate rows with one key: the spelling that sorts
+    last is the one that is published.
+    """
 
     def common(level: str, dimension: str) -> list[Column]:
         parts = [F.lit(level), *[_text_or_none(c) for c in ("period_yyyymm", "unidad", dimension)]]
@@ -107,6 +111,7 @@ def aggregate_documents(
             optional_text(F.col("period_yyyymm")).alias("period_yyyymm"),
             *[F.col(c).cast("int").alias(c) for c in ("year", "month", "quarter", "semester")],
             optional_text(F.col("unidad")).alias("unidad"),
+            F.col("period_raw").alias("_spelling"),
         ]
 
     no_text = F.lit(None).cast("string")
@@ -132,7 +137,9 @@ def aggregate_documents(
         no_text.alias("gap_quality_flag"),
         F.lit(DOCUMENT_VERSION).alias("schema_version"),
     )
-    return minerals.unionByName(departments, allowMissingColumns=True).filter(F.col("period_date").isNotNull())
+    both = minerals.unionByName(departments, allowMissingColumns=True).filter(F.col("period_date").isNotNull())
+    last = Window.partitionBy(*AGGREGATE_KEY).orderBy(F.col("_spelling").desc_nulls_last())
+    return both.withColumn("_place", F.row_number().over(last)).filter("_place = 1").drop("_place", "_spelling")
 
 
 def selection_metadata(report: DataFrame) -> dict[str, object]:
@@ -299,6 +306,9 @@ def first_load(batch: DataFrame, now: datetime | str | Column) -> DataFrame:
     return batch.withColumn("ingested_at", stamp).withColumn("updated_at", stamp)
 
 
+COUNTERS = ["n_operations", "matched_count", "modified_count", "upserted_count"]
+
+
 def _counters() -> list[Column]:
     """Operations, matches, modifications and inserts. Every match is a modification, because
     ``updated_at`` always changes."""

@@ -222,6 +222,8 @@ PREDICTION_CONTRACT = {
     },
 }
 
+CONTRACTS = {"facts": FACT_CONTRACT, "aggregates": AGGREGATE_CONTRACT, "predictions": PREDICTION_CONTRACT}
+
 
 def contract_violations(df: DataFrame, collection: str, contract: dict) -> DataFrame:
     """Count violations per ``(collection, field, rule)`` in one pass; nothing is rejected.

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseries.operators import charts, cleaning, explore, features, forecast, publish, quality, selection, tidy
@@ -33,6 +33,7 @@ class Settings:
     window_end: date = selection.WINDOW_END
     load_strategy: str = "incremental"
     load_period: str | None = None
+    dry_run: bool = False
     gap_ok_max: float = GAP_OK_MAX
     gap_warning_max: float = GAP_WARNING_MAX
     chart_level: str = DEPARTMENT_LEVEL
@@ -73,6 +74,7 @@ class MonthlyRun:
     def validate(self) -> None:
         rules = self.write(quality.validation_rules(self.table("interim/long_base")), "reports/validation_rules")
         self.write(quality.validation_failures(rules), "reports/validation_failures")
+        self.write(quality.invalid_units(self.table("interim/long_base")), "reports/invalid_units")
         verdict = quality.validation_verdict(rules).first()
         if verdict["overall_status"] != "PASS":
             raise QualityError(f"{verdict['n_failed']} of {verdict['n_rules']} quality rules failed")
@@ -136,7 +138,19 @@ class MonthlyRun:
         rule = F.struct(
             F.lit(s.selection_mode).alias("mode"), F.lit(s.dynamic_tolerance_pct).alias("dynamic_tolerance_pct")
         )
-        self.report(self.spark.range(1).select(rule.alias("selection_rule")), "operational_forecast")
+        window = F.struct(
+            F.lit(s.window_start).alias("start"), F.lit(s.window_end).alias("end"), F.lit(len(months)).alias("months")
+        )
+        # Two levels, and three tables whose sizes stand in their files.
+        levels = selection.select_by_level(self.table("reports/leaderboard")).agg(
+            F.array_sort(F.collect_list(F.struct("level", "level_model"))).alias("selected_models")
+        )
+        outputs = ["processed/operational_forecast", "processed/operational_executive", "reports/operational_skipped"]
+        rows = F.struct(*[F.lit(self.table(name).count()).alias(name.split("/")[1]) for name in outputs])
+        self.report(
+            levels.select(rule.alias("selection_rule"), window.alias("forecast_window"), rows.alias("rows"), "selected_models"),
+            "operational_forecast",
+        )
 
     def publish_facts(self) -> dict[str, dict[str, int]]:
         s = self.settings
@@ -144,21 +158,45 @@ class MonthlyRun:
         tables = [facts, self.table("processed/agg_mineral_period"), self.table("processed/agg_departamento_period")]
         chosen, by_mineral, by_department = publish.select_load_rows(tables, facts, s.load_strategy, s.load_period)
         documents = publish.aggregate_documents(by_mineral, by_department, s.gap_ok_max, s.gap_warning_max)
+        period = publish.selected_period(facts, s.load_strategy, s.load_period)
+        n_aggregates = sum(t.count() for t in tables[1:])
         return {
-            "facts": self._upsert("published/facts", publish.fact_documents(chosen), publish.FACTS),
-            "aggregates": self._upsert("published/aggregates", documents, publish.AGGREGATES),
+            "facts": self._upsert("facts", publish.fact_documents(chosen), publish.FACTS, facts.count(), period),
+            "aggregates": self._upsert("aggregates", documents, publish.AGGREGATES, n_aggregates, period),
         }
 
     def publish_predictions(self) -> dict[str, int]:
         metadata = publish.selection_metadata(self.spark.read.json(self.path("reports/operational_forecast")))
         forecasts = as_operational_forecasts(self.table("processed/operational_forecast"))
         documents = publish.prediction_documents(forecasts, metadata)
-        return self._upsert("published/predictions", documents, publish.PREDICTIONS)
+        return self._upsert("predictions", documents, publish.PREDICTIONS, forecasts.count(), None)
 
-    def _upsert(self, name: str, batch: DataFrame, table: dict) -> dict[str, int]:
+    def _upsert(
+        self, name: str, batch: DataFrame, table: dict, n_input: int, period: Column | None
+    ) -> dict[str, int]:
+        """Check a batch against its contract, load it unless this is a dry run, and report."""
         # The batch is read more than once while its months are located and merged.
-        stored = self.write(batch, f"work/{name}")
-        return publish.upsert_table(self.spark, self.path(name), stored, now=self.settings.now, **table)
+        stored = self.write(batch, f"work/published/{name}")
+        self.write(
+            quality.contract_violations(stored, name, quality.CONTRACTS[name]), f"reports/contract_{name}"
+        )
+        counters = dict.fromkeys(publish.COUNTERS, 0)
+        if not self.settings.dry_run:
+            counters = publish.upsert_table(
+                self.spark, self.path(f"published/{name}"), stored, now=self.settings.now, **table
+            )
+        facts = {
+            "collection": name,
+            "strategy": self.settings.load_strategy,
+            "dry_run": self.settings.dry_run,
+            "input_rows": n_input,
+            "selected_rows": stored.count(),
+            **counters,
+        }
+        columns = [F.lit(v).alias(k) for k, v in facts.items()]
+        covered = F.lit(None).cast("string") if period is None else period
+        self.report(self.spark.range(0, 1, 1, 1).select(*columns, covered.alias("selected_period")), f"load_{name}")
+        return counters
 
     def chart_data(self) -> None:
         s = self.settings

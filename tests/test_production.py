@@ -61,6 +61,14 @@ def test_monthly_run(spark, tmp_path):
     assert {d.source.selection_mode for d in documents} == {"series_mae_dynamic"}
     assert {d.forecast_window_months for d in documents} == {11}
     assert run.table("charts/smoothed_trend").count() == 3
+    assert run.table("reports/invalid_units").count() == 0
+    load = read_json(root / "reports/load_facts")[0]
+    assert load["selected_rows"] == MONTHS * 6 - 1 and load["strategy"] == "full_refresh" and not load["dry_run"]
+    assert load["upserted_count"] == MONTHS * 6 - 1
+    assert run.table("reports/contract_facts").filter("rule = 'type'").agg({"n_violations": "max"}).first()[0] == 0
+    operational = read_json(root / "reports/operational_forecast")[0]
+    assert operational["rows"] == {"operational_forecast": 66, "operational_executive": 6, "operational_skipped": 0}
+    assert operational["forecast_window"]["months"] == 11 and len(operational["selected_models"]) == 2
 
     # A second load of the newest month changes nothing but its stamps.
     again = MonthlyRun(
@@ -69,7 +77,16 @@ def test_monthly_run(spark, tmp_path):
     assert again.publish_facts()["facts"] == {
         "n_operations": 6, "matched_count": 6, "modified_count": 6, "upserted_count": 0,
     }
+    load = read_json(root / "reports/load_facts")[0]
+    assert load["selected_rows"] == 6 and load["input_rows"] == MONTHS * 6 - 1 and load["selected_period"]
+
+    # A dry run reports what it would load and writes nothing.
+    before = run.table("published/facts").count()
+    dry = MonthlyRun(spark, str(root), settings(dry_run=True))
+    assert dry.publish_facts()["facts"]["n_operations"] == 0
+    assert read_json(root / "reports/load_facts")[0]["dry_run"]
     facts = run.table("published/facts")
+    assert facts.count() == before
     assert facts.count() == MONTHS * 6 - 1
     assert facts.filter("updated_at > timestamp_ntz'2026-02-01 00:00:00'").count() == 6
     assert facts.filter("ingested_at > timestamp_ntz'2026-02-01 00:00:00'").count() == 0

@@ -216,3 +216,22 @@ def test_documents_with_and_without_metadata_merge(spark):
     batch = publish.prediction_documents(forecasts, {"selection_mode": "level_mae", "dynamic_tolerance_pct": 10})
     row = publish.upsert(snapshot, batch, publish.PREDICTIONS["keys"], "2024-03-01 00:00:00").first()
     assert row.write_status == "matched" and row.source.selection_mode == "level_mae"
+
+
+def test_two_spellings_of_a_month_give_one_aggregate(spark):
+    schema = (
+        "period_date date, period_raw string, period_yyyymm string, year int, month int, quarter int, semester int,"
+        " mineral string, unidad string, dept_sum_value double, n_departamentos long, official_total_value double,"
+        " abs_gap_vs_total double, pct_gap_vs_total double"
+    )
+    day = datetime.date(2024, 4, 1)
+    rows = [(day, raw, "2024-04", 2024, 4, 2, 1, "m", "u", v, 1, v, 0.0, 0.0) for raw, v in (("Abr24", 1.0), ("abr24", 2.0))]
+    minerals = spark.createDataFrame(rows, schema)
+    departments = spark.createDataFrame(
+        [],
+        "period_date date, period_raw string, period_yyyymm string, year int, month int, quarter int, semester int,"
+        " departamento string, unidad string, dept_unit_sum_value double, n_minerales long",
+    )
+    documents = publish.aggregate_documents(minerals, departments)
+    assert [d.dept_sum_value for d in documents.collect()] == [2.0]
+    assert "_spelling" not in documents.columns
