@@ -56,7 +56,7 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return buf, starts
 
 
-def in_slices(texts: list, size_of, limit: int = 2 << 20):
+def in_slices(texts: list, size_of, limit: int = 1 << 19):
     """Index ranges of consecutive texts of about ``limit`` bytes together; one longer text is
     a range of its own."""
     start = held = 0
