@@ -17,24 +17,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prodseries.llm.common import maybe_broadcast, written
-from prodseries.llm.hashing import spans_hash
+from prodseries.llm.hashing import mixed, spans_hash
 from prodseries.llm.quality_rules import labelled_sample
 from prodseries.llm.text_stats import _LETTER, RATIOS, text_stats
 
 # Labelled rows that the document model is fitted on, at most.
 SAMPLE_ROWS = 8_000
-WORD_BITS, WORDS = 16, 512
-STEPS, RIDGE = 400, 1e-3
+WORD_BITS, WORDS = 18, 512
+# Beginnings of words, in bytes, that are features like whole words.
+PREFIXES = (4, 5)
+STEPS, RIDGE = 400, 1e-4
 # A site's strength lies between these (pseudo-documents); its pull is bounded in log odds.
 STRENGTHS, MOST_PULL = (20.0, 2000.0), 1.0
 
 
 def word_buckets(text: str | None) -> np.ndarray:
-    """Distinct hash buckets of a text's words (runs of letters, A-Z lower-cased)."""
+    """Distinct hash buckets of a text's words (runs of letters, A-Z lower-cased) and of their
+    beginnings."""
     buf = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower() + b" ", dtype=np.uint8)
     edge = np.diff(np.concatenate(([False], _LETTER[buf])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return np.unique(spans_hash(buf, starts, ends) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    found = [spans_hash(buf, starts, ends)]
+    for n in PREFIXES:
+        longer = ends - starts > n
+        found.append(mixed(spans_hash(buf, starts[longer], starts[longer] + n) + np.uint64(n)))
+    return np.unique(np.concatenate(found) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
 
 
 @dataclass
