@@ -1,7 +1,9 @@
 """Exact substring deduplication by suffix arrays.
 
 Bytes covered by a string of WIDTH bytes that also starts in a smaller document go. Documents
-are dealt to shards of a few megabytes. Every string has an anchor, the position of its
+are dealt to shards of a few megabytes, copies of one text to the same one, where they fold into
+their smallest document (a text whose copies are too many for a shard is spread over several).
+Every string has an anchor, the position of its
 smallest k-gram hash, which equal strings share wherever they stand; an anchor's fingerprint
 seen in two documents or more marks the strings around it as candidates (a filter that loses
 none). Each shard builds a suffix array over its candidates, and common prefixes of WIDTH or
@@ -20,11 +22,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prodseries.llm.common import partitions, text_bytes, total
-from prodseries.llm.hashing import mixed, powers, spans_hash, BASE, BYTE
+from prodseries.llm.common import maybe_broadcast, partitions, text_bytes, total, written
+from prodseries.llm.hashing import BASE, BYTE, mixed, powers, spans_hash
 from prodseries.llm.suffix_arrays import repeat_classes
 
 WIDTH = 50
@@ -32,7 +35,11 @@ GRAM = 24
 # Positions of an anchor per string.
 REACH = WIDTH - GRAM + 1
 # Text of a shard, and of what one bucket of fingerprints stands for.
-SHARD_BYTES, BUCKET_BYTES = 4 << 20, 32 << 20
+SHARD_BYTES, BUCKET_BYTES = 2 << 20, 32 << 20
+# Fingerprints have so many bits: they only choose candidates.
+PRINT_BITS, PRINT_BYTES = 48, 6
+# Contexts that one suffix array of the merge takes at a time.
+MERGE_BYTES = 1 << 19
 # A fingerprint in more documents than this is published string by string.
 HOT_DOCUMENTS = 20_000
 SLICE = 4 << 20
@@ -56,7 +63,7 @@ def _slices(texts: list[bytes]):
     overlapping stretches, so that every string lies in exactly one."""
     start = held = 0
     for i, t in enumerate(texts):
-        if held and held + len(t) > SLICE // 4:
+        if held and held + len(t) > SLICE // 8:
             yield start, i, None
             start, held = i, 0
         if len(t) > SLICE:
@@ -110,15 +117,39 @@ def _anchors(texts: list[bytes], i: int, j: int, cut: int | None):
     at = anchor[first]
     doc = np.searchsorted(starts, first, side="right") - 1
     shift = base - starts[doc]
-    return doc + i, first + shift, last + shift, at + shift, gram[at]
+    return doc + i, first + shift, last + shift, at + shift, gram[at] >> _U64(64 - PRINT_BITS)
 
 
-def _documents(table: pa.Table) -> tuple[list, list[bytes], np.ndarray]:
-    """Ids, texts as bytes, and the order of the rows with an id, by id."""
+def _packed(prints: np.ndarray) -> bytes:
+    return np.ascontiguousarray(prints.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PRINT_BYTES]).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // PRINT_BYTES, 8), dtype=np.uint8)
+    out[:, :PRINT_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, PRINT_BYTES)
+    return out.view("<u8").ravel()
+
+
+def _small(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def _large(data: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=kind)
+
+
+def _documents(table: pa.Table) -> tuple[list, list[bytes], np.ndarray, dict[bytes, int]]:
+    """Ids, texts as bytes, the rows that stand for a text (one with its smallest id), by id,
+    and the smallest id of each text that a string fits in."""
     ids = table["doc_id"].to_pylist()
     texts = [(t or "").encode("utf-8", "surrogatepass") for t in table["text"].to_pylist()]
-    order = np.array(sorted((i for i, d in enumerate(ids) if d is not None), key=lambda i: ids[i]), dtype=np.int64)
-    return ids, texts, order
+    first: dict[bytes, int] = {}
+    order = []
+    for i in sorted((i for i, d in enumerate(ids) if d is not None and len(texts[i]) >= WIDTH), key=lambda i: ids[i]):
+        if texts[i] not in first:
+            first[texts[i]] = ids[i]
+            order.append(i)
+    return ids, texts, np.array(order, dtype=np.int64), first
 
 
 def _by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +163,7 @@ def _by_bucket(values: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray
 def fingerprints(table: pa.Table, buckets: int) -> pa.Table:
     """Distinct fingerprints of a shard by bucket, with the number of its documents (to 255)."""
     shard = table["shard"][0].as_py()
-    ids, texts, order = _documents(table)
+    _, texts, order, _ = _documents(table)
     found = Anchors([texts[i] for i in order.tolist()])
     by = np.argsort(found.print, kind="stable")
     prints, doc = found.print[by], found.doc[by]
@@ -149,7 +180,7 @@ def fingerprints(table: pa.Table, buckets: int) -> pa.Table:
         {
             "bucket": pa.array(names, pa.int32()),
             "shard": pa.array([shard] * len(names), pa.int64()),
-            "prints": pa.array([prints[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
+            "prints": pa.array([_packed(prints[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
             "times": pa.array([times[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()),
         }
     )
@@ -158,7 +189,7 @@ def fingerprints(table: pa.Table, buckets: int) -> pa.Table:
 def repeated_fingerprints(table: pa.Table, hot: int) -> pa.Table:
     """For each shard, which of its fingerprints are in two documents or more, and very many."""
     shards = table["shard"].to_pylist()
-    runs = [np.frombuffer(b, dtype=np.uint64) for b in table["prints"].to_pylist()]
+    runs = [_unpacked(b) for b in table["prints"].to_pylist()]
     times = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in table["times"].to_pylist()]).astype(np.int64)
     names, back = np.unique(np.concatenate(runs), return_inverse=True)
     documents = np.bincount(back, times, len(names))
@@ -167,7 +198,7 @@ def repeated_fingerprints(table: pa.Table, hot: int) -> pa.Table:
     for shard, run in zip(shards, runs, strict=True):
         s = state[at : at + len(run)]
         at += len(run)
-        out.append((shard, run[s > 0].tobytes(), run[s > 1].tobytes()))
+        out.append((shard, _packed(run[s > 0]), _packed(run[s > 1])))
     return pa.table(
         {"shard": pa.array([o[0] for o in out], pa.int64()), "seen": pa.array([o[1] for o in out], pa.binary()), "hot": pa.array([o[2] for o in out], pa.binary())}
     )
@@ -206,10 +237,10 @@ def shard_runs(table: pa.Table, seen: pa.Table, buckets: int) -> pa.Table:
     if not table.num_rows or not seen.num_rows:
         return _rows([], [], [], [[]] * 5)
     shard = table["shard"][0].as_py()
-    ids, texts, order = _documents(table)
+    ids, texts, order, _ = _documents(table)
     texts = [texts[i] for i in order.tolist()]
     names = np.array([ids[i] for i in order.tolist()], dtype=np.int64)
-    known, hot = (np.sort(np.frombuffer(b"".join(seen[c].to_pylist()), dtype=np.uint64)) for c in ("seen", "hot"))
+    known, hot = (np.sort(_unpacked(b"".join(seen[c].to_pylist()))) for c in ("seen", "hot"))
     found = Anchors(texts)
     wanted = np.flatnonzero(_in(found.print, known))
     if not len(wanted):
@@ -250,18 +281,18 @@ def shard_runs(table: pa.Table, seen: pa.Table, buckets: int) -> pa.Table:
         left = windows[a]
         right = windows[b] + WIDTH
         content = spans_hash(buf, left, right)
-        tag = np.where(one[a], content | _U64(1), prints[run] & ~_U64(1))
+        tag = np.where(one[a], content | _U64(1), prints[run] << _U64(1))
         by, buckets_, cut = _by_bucket(tag, buckets)
         starts = first[run] + (a - (np.cumsum(count) - count)[run])
         columns: list[list[bytes]] = [[] for _ in _RUN]
         for x, y in zip(cut[:-1], cut[1:], strict=True):
             some = by[x:y]
             some = some[np.lexsort((content[some], tag[some]))]
-            columns[0].append(tag[some].tobytes())
-            columns[1].append(names[doc[run[some]]].tobytes())
-            columns[2].append(starts[some].astype(np.int64).tobytes())
-            columns[3].append(lengths[some].astype(np.int32).tobytes())
-            columns[4].append(buf[_ranges(left[some], right[some] - left[some])].tobytes())
+            columns[0].append(_small(tag[some]))
+            columns[1].append(_small(names[doc[run[some]]]))
+            columns[2].append(_small(starts[some].astype(np.int64)))
+            columns[3].append(_small(lengths[some].astype(np.int32)))
+            columns[4].append(_small(buf[_ranges(left[some], right[some] - left[some])]))
         out.append(_rows(buckets_, [shard] * len(buckets_), [1] * len(buckets_), columns))
     return pa.concat_tables(out)
 
@@ -275,7 +306,7 @@ def _span_rows(shard: int, names: np.ndarray, doc: np.ndarray, start: np.ndarray
     new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
     heads = np.flatnonzero(new)
     lengths = np.diff(np.append(heads, len(doc))) + WIDTH - 1
-    return _rows([shard & 0x7FFFFFFF], [shard], [0], [[b""], [names[doc[heads]].tobytes()], [start[heads].astype(np.int64).tobytes()], [lengths.astype(np.int32).tobytes()], [b""]])
+    return _rows([shard & 0x7FFFFFFF], [shard], [0], [[b""], [_small(names[doc[heads]])], [_small(start[heads].astype(np.int64))], [_small(lengths.astype(np.int32))], [b""]])
 
 
 def merged_runs(runs: list[np.ndarray]) -> np.ndarray:
@@ -291,6 +322,29 @@ def merged_runs(runs: list[np.ndarray]) -> np.ndarray:
     return runs[0]
 
 
+def _settled_strings(buf, at, sizes, counts, docs, starts, shard, whole, rows, members) -> tuple:
+    """Spans of ``members`` whose strings a smaller document has, by a suffix array over the
+    contexts ``rows`` that stand for them."""
+    parts = buf[_ranges(at[rows], sizes[rows])]
+    place = np.cumsum(counts[rows]) - counts[rows]
+    windows = _ranges(np.cumsum(sizes[rows]) - sizes[rows], counts[rows])
+    classes = repeat_classes(parts, windows, WIDTH)
+    least = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(least, classes, np.repeat(docs[rows], counts[rows]))
+    by = np.argsort(rows)
+    local = place[by[np.searchsorted(rows[by], whole[members])]]
+    owner = np.repeat(np.arange(len(members)), counts[members])
+    inner = _ranges(np.zeros(len(members), np.int64), counts[members])
+    hit = least[classes[local[owner] + inner]] < docs[members[owner]]
+    owner, inner = owner[hit], inner[hit]
+    new = np.ones(len(owner), dtype=bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)
+    heads = np.flatnonzero(new)
+    lengths = np.diff(np.append(heads, len(owner))) + WIDTH - 1
+    o = members[owner[heads]]
+    return shard[o], docs[o], starts[o] + inner[heads], lengths
+
+
 def merged_bucket(table: pa.Table) -> pa.Table:
     """Spans of strings that a smaller document of another shard has, by shard."""
     kind = np.asarray(table["kind"])
@@ -299,11 +353,11 @@ def merged_bucket(table: pa.Table) -> pa.Table:
     if not table.num_rows:
         return spans
     kinds = (("prints", np.uint64), ("docs", np.int64), ("starts", np.int64), ("counts", np.int32))
-    cells = {c: [np.frombuffer(b, dtype=t) for b in table[c].to_pylist()] for c, t in kinds}
+    cells = {c: [_large(b, t) for b in table[c].to_pylist()] for c, t in kinds}
     tag, docs, starts, counts = (np.concatenate(cells[c]) for c, _ in kinds)
     counts = counts.astype(np.int64)
     shard = np.repeat(np.array(table["shard"].to_pylist(), dtype=np.int64), [len(x) for x in cells["docs"]])
-    buf = np.frombuffer(b"".join(table["data"].to_pylist()), dtype=np.uint8)
+    buf = np.concatenate([_large(b, np.uint8) for b in table["data"].to_pylist()])
     sizes = counts + WIDTH - 1
     at = np.cumsum(sizes) - sizes
 
@@ -333,51 +387,45 @@ def merged_bucket(table: pa.Table) -> pa.Table:
     simple = np.flatnonzero(alone[whole] & (docs[whole] < docs))
     out = [(shard[simple], docs[simple], starts[simple], sizes[simple])]
 
-    mixed_rows = rows[~alone[rows]]
-    if len(mixed_rows):
-        parts = buf[_ranges(at[mixed_rows], sizes[mixed_rows])]
-        local = np.zeros(len(key), dtype=np.int64)
-        local[mixed_rows] = np.cumsum(counts[mixed_rows]) - counts[mixed_rows]
-        windows = _ranges(np.cumsum(sizes[mixed_rows]) - sizes[mixed_rows], counts[mixed_rows])
-        classes = repeat_classes(parts, windows, WIDTH)
-        least = np.full(int(classes.max()) + 1, np.iinfo(np.int64).max)
-        np.minimum.at(least, classes, np.repeat(docs[mixed_rows], counts[mixed_rows]))
-        first = least[classes]
-        some = np.flatnonzero(~alone[whole])
-        owner = np.repeat(some, counts[some])
-        inner = _ranges(np.zeros(len(some), np.int64), counts[some])
-        hit = first[local[whole[owner]] + inner] < docs[owner]
-        owner, inner = owner[hit], inner[hit]
-        if len(owner):
-            new = np.ones(len(owner), dtype=bool)
-            new[1:] = (owner[1:] != owner[:-1]) | (inner[1:] != inner[:-1] + 1)
-            heads = np.flatnonzero(new)
-            lengths = np.diff(np.append(heads, len(owner))) + WIDTH - 1
-            o = owner[heads]
-            out.append((shard[o], docs[o], starts[o] + inner[heads], lengths))
+    # Equal strings have one fingerprint, so whole fingerprints are taken, a bounded lot at a time.
+    rest = rows[~alone[rows]]
+    rest = rest[np.argsort(tag[rest], kind="stable")]
+    folds = np.flatnonzero(~alone[whole])
+    folds = folds[np.argsort(tag[folds], kind="stable")]
+    if len(rest):
+        heads = np.flatnonzero(np.append(True, tag[rest[1:]] != tag[rest[:-1]]))
+        lot = np.cumsum(sizes[rest])[heads] // MERGE_BYTES
+        cuts = heads[np.append(True, lot[1:] != lot[:-1])]
+        for x, y in zip(cuts.tolist(), np.append(cuts[1:], len(rest)).tolist(), strict=True):
+            some = rest[x:y]
+            low = np.searchsorted(tag[folds], tag[some[0]], side="left")
+            high = np.searchsorted(tag[folds], tag[some[-1]], side="right")
+            out.append(_settled_strings(buf, at, sizes, counts, docs, starts, shard, whole, some, folds[low:high]))
     shard, docs, starts, sizes = (np.concatenate(x) for x in zip(*out, strict=True))
     by = np.argsort(shard, kind="stable")
     names, cut = np.unique(shard[by], return_index=True)
     cells = [np.split(x[by].astype(t), cut[1:]) for x, t in ((docs, np.int64), (starts, np.int64), (sizes, np.int32))]
     found = pa.table(
-        {"shard": pa.array(names, pa.int64()), **{c: pa.array([x.tobytes() for x in v][: len(names)], pa.binary()) for c, v in zip(("docs", "starts", "counts"), cells, strict=True)}}
+        {"shard": pa.array(names, pa.int64()), **{c: pa.array([_small(x) for x in v][: len(names)], pa.binary()) for c, v in zip(("docs", "starts", "counts"), cells, strict=True)}}
     )
     return pa.concat_tables([spans, found])
 
 
 def cleared(table: pa.Table, spans: pa.Table) -> pa.Table:
     """Remove the spans' bytes from a shard's documents."""
-    ids, texts, _ = _documents(table)
+    ids, texts, _, first = _documents(table)
     kinds = (("docs", np.int64), ("starts", np.int64), ("counts", np.int32))
     docs, starts, sizes = (
-        np.concatenate([np.zeros(0, t), *(np.frombuffer(b, dtype=t) for b in spans[c].to_pylist())]) for c, t in kinds
+        np.concatenate([np.zeros(0, t), *(_large(b, t) for b in spans[c].to_pylist())]) for c, t in kinds
     )
     by = np.argsort(docs, kind="stable")
     docs, starts, ends = docs[by], starts[by], starts[by] + sizes[by]
     columns: list[list] = [[] for _ in range(7)]
     for doc, text in zip(ids, texts, strict=True):
         left, right, kept = np.zeros(0, np.int64), np.zeros(0, np.int64), text
-        if doc is not None:
+        if doc is not None and first.get(text, doc) < doc:
+            left, right, kept = np.array([0]), np.array([len(text)]), b""
+        elif doc is not None:
             a, b = np.searchsorted(docs, [doc, doc + 1])
             if b > a:
                 # A repeated id with a shorter text has none of the spans of the longer one's end.
@@ -415,8 +463,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     width = partitions(docs.sparkSession)
     shards = max(width, -(-size // shard_bytes))
     buckets = max(width, -(-size // BUCKET_BYTES))
+    # Copies of a text share a shard, unless they would fill a good part of it.
+    copies = base.groupBy(F.xxhash64("text").alias("text_hash")).agg(F.sum(text_bytes(F.col("text"))).alias("held"))
+    many = written(copies.filter(F.col("held") > shard_bytes // 4), "hot-texts")
+    spread = base.withColumn("text_hash", F.xxhash64("text")).join(maybe_broadcast(many, 32), "text_hash", "left")
+    part = F.pmod(F.xxhash64("doc_id"), F.ceil(F.coalesce("held", F.lit(0)) / (shard_bytes // 4)) + 1)
     # Used three times; the planner deals it once.
-    dealt = base.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards))).repartition(width, "shard")
+    dealt = spread.select(
+        "doc_id", "text", F.pmod(F.xxhash64("text_hash", part.cast("long")), F.lit(shards)).alias("shard")
+    ).repartition(width, "shard")
 
     prints = dealt.groupBy("shard").applyInArrow(
         lambda t: fingerprints(t, buckets), "bucket int, shard long, prints binary, times binary"
