@@ -80,7 +80,8 @@ BLOCKS["sheet_cells"] = """
               WHEN r = 0 THEN 'n.d.' WHEN r = 1 THEN '' WHEN r = 2 THEN '—' WHEN r = 3 THEN 'abc'
               WHEN r = 4 THEN '12f' WHEN r = 5 THEN format('{:,}', v)
               WHEN r = 6 THEN '1_' || lpad(CAST(v AS VARCHAR), 9, '0') WHEN r = 7 THEN 'inf'
-              WHEN r = 8 THEN NULL WHEN r = 9 THEN ' ' || v || '.25 ' ELSE CAST(v AS VARCHAR) END AS value_raw
+              WHEN r = 8 THEN NULL WHEN r = 9 THEN ' ' || v || '.25 '
+              WHEN r = 10 THEN ', ' || v WHEN r = 11 THEN v || ' ,' ELSE CAST(v AS VARCHAR) END AS value_raw
   FROM (SELECT row_ord, h.col_ord, sheet_rows.token, code, description,
                CAST(value + extra AS BIGINT) AS v,
                ((12 * year(sheet_rows.period_date) + month(sheet_rows.period_date)) * 31 + brand_no * 17) % 50 AS r
@@ -115,13 +116,14 @@ def _period(token: str) -> str:
 CLEANING["parse_period_tokens"] = f"SELECT row_ord, token, {_period('token')} AS period_date FROM sheet_rows"
 CLEANING["parse_series_metadata"] = "SELECT * FROM series_dim"
 
+# What counts as a number, and the spellings of a missing one below.
 _NUMBER = (
     r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$|^[+-]?inf(inity)?$"
 )
 BLOCKS["numeric_cells"] = f"""
   SELECT *, missing AS is_missing, NOT missing AND NOT number AS is_invalid_numeric,
          CASE WHEN NOT missing AND number THEN TRY_CAST(replace(digits, '_', '') AS DOUBLE) END AS value
-  FROM (SELECT *, replace(t, ',', '') AS digits, regexp_matches(replace(t, ',', ''), '{_NUMBER}') AS number,
+  FROM (SELECT *, trim(replace(t, ',', '')) AS digits, regexp_matches(trim(replace(t, ',', '')), '{_NUMBER}') AS number,
                t IS NULL OR t IN ('', 'n.d.', 'nd', 'n/d', 'na', 'nan', 'none', 'null') AS missing
         FROM (SELECT *, lower({plain(norm("value_raw"))}) AS t FROM sheet_cells))"""
 CLEANING["parse_numeric_tokens"] = """

@@ -165,6 +165,8 @@ def _cell_text(value: Column, residue: Column) -> Column:
         .when(residue == 7, "inf")
         .when(residue == 8, F.lit(None).cast("string"))
         .when(residue == 9, F.concat(F.lit(" "), digits, F.lit(".25 ")))
+        .when(residue == 10, F.concat(F.lit(", "), digits))
+        .when(residue == 11, F.concat(digits, F.lit(" ,")))
         .otherwise(digits)
     )
 

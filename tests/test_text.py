@@ -79,6 +79,8 @@ def test_parse_numeric_cases(spark):
         "nan": (None, True, False),
         "+nan": (None, False, False),
         "": (None, True, False),
+        ", 5": (5.0, False, False),
+        "5 ,": (5.0, False, False),
     }
     got = apply(spark, text.parse_numeric, [*cases, None])
     assert [tuple(r) for r in got] == [*cases.values(), (None, True, False)]
