@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodseries.llm.common import maybe_broadcast, partitions, text_bytes, total, written
-from prodseries.llm.hashing import BASE, BYTE, mixed, powers, spans_hash
+from prodseries.llm.hashing import BASE, BYTE, mixed, ordered_spans_hash, powers
 from prodseries.llm.suffix_arrays import repeat_classes
 
 WIDTH = 50
@@ -42,7 +42,8 @@ PRINT_BITS, PRINT_BYTES = 48, 6
 MERGE_BYTES = 1 << 19
 # A fingerprint in more documents than this is published string by string.
 HOT_DOCUMENTS = 20_000
-SLICE = 4 << 20
+# Bytes hashed at a time.
+SLICE = 1 << 19
 _U64 = np.uint64
 
 
@@ -63,7 +64,7 @@ def _slices(texts: list[bytes]):
     overlapping stretches, so that every string lies in exactly one."""
     start = held = 0
     for i, t in enumerate(texts):
-        if held and held + len(t) > SLICE // 8:
+        if held and held + len(t) > SLICE:
             yield start, i, None
             start, held = i, 0
         if len(t) > SLICE:
@@ -280,7 +281,7 @@ def shard_runs(table: pa.Table, seen: pa.Table, buckets: int) -> pa.Table:
         run, lengths = owner[a], b - a + 1
         left = windows[a]
         right = windows[b] + WIDTH
-        content = spans_hash(buf, left, right)
+        content = ordered_spans_hash(buf, left, right)
         tag = np.where(one[a], content | _U64(1), prints[run] << _U64(1))
         by, buckets_, cut = _by_bucket(tag, buckets)
         starts = first[run] + (a - (np.cumsum(count) - count)[run])
@@ -362,7 +363,7 @@ def merged_bucket(table: pa.Table) -> pa.Table:
     at = np.cumsum(sizes) - sizes
 
     # Equal contexts fold into one: found by binary search in the merged runs, then compared.
-    key = mixed(tag ^ spans_hash(buf, at, at + sizes))
+    key = mixed(tag ^ ordered_spans_hash(buf, at, at + sizes))
     cuts = np.cumsum([len(x) for x in cells["docs"]])[:-1]
     place = np.searchsorted(merged_runs([np.unique(r) for r in np.split(key, cuts)]), key)
     by = np.lexsort((docs, place))
