@@ -1,15 +1,14 @@
-"""Removal of repeated multi-line chunks.
+"""Removal of repeated runs of lines.
 
-A rolling hash over the hashes of neighbouring lines is taken at every line; a chunk ends where
-it is even, at every second line on average. Boundaries depend on nearby lines only, so text
-inserted before a passage does not shift the chunks inside it. Chunks of two lines or more whose
+A rolling hash over two neighbouring lines is taken at every line; each such pair is a chunk, so
+chunks overlap and text inserted before a passage does not shift those inside it. Chunks whose
 hashes repeat anywhere in the corpus are compared byte by byte with their first occurrence
-(smallest document, then place), and equal ones are removed.
+(smallest document, then place), and the lines of equal ones are removed. A run of lines that an
+earlier place has is a run of such chunks, so it goes whole, however short it is.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,35 +17,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prodseries.llm.common import BROADCAST_BYTES, written
-from prodseries.llm.hashing import OTHER_BASE, mixed, spans_hash
-
-# Lines under the rolling hash, and of how many places one is a boundary.
-ROLLING, EVERY = 2, 2
+from prodseries.llm.hashing import OTHER_BASE, spans_hash
 
 
 def chunk_lines(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of the lines of a text (and the end, as if a line break followed), the first line
-    of each chunk (and the number of lines), and two hashes per chunk (n x 2)."""
+    """Starts of the lines of a text (and the end, as if a line break followed), the first and
+    last line of each chunk (n x 2, ascending), and two hashes per chunk (n x 2).
+
+    Two empty lines have nothing to compare: the second (first) is a chunk with all lines back
+    (on) to the nearest one that has a character.
+    """
     buf = np.frombuffer(data + b"\n", dtype=np.uint8)
     ends = np.flatnonzero(buf == 10)
     at = np.concatenate(([0], ends + 1))
-    lines = spans_hash(buf, at[:-1], ends)
-    rolling = lines.copy()
-    for back in range(1, ROLLING):
-        rolling[back:] += lines[:-back] * np.uint64(2 * back + 1)
-    rolling = mixed(rolling)
-    inner = np.flatnonzero(rolling[1:-1] % np.uint64(EVERY) == 0) + 2
-    first = np.unique(np.concatenate(([0], inner, [len(lines)])))
-    a, b = at[first[:-1]], at[first[1:]] - 1
-    return at, first, np.stack([spans_hash(buf, a, b), spans_hash(buf, a, b, OTHER_BASE)], axis=1).view(np.int64)
+    some = np.diff(at) > 1
+    line = np.arange(len(some))
+    pair = some[:-1] | some[1:]
+    first = line[:-1][pair]
+    chunks = np.stack([first, first + 1], axis=1)
+    if not pair.all():
+        empty = line[:-1][~pair]
+        before = np.maximum.accumulate(np.where(some, line, -1))[empty]
+        after = np.minimum.accumulate(np.where(some, line, len(line))[::-1])[::-1][empty]
+        back = np.stack([before, empty + 1], axis=1)[before >= 0]
+        on = np.stack([empty, after], axis=1)[after < len(line)]
+        chunks = np.concatenate([chunks, back, on])
+        chunks = chunks[np.lexsort((chunks[:, 1], chunks[:, 0]))]
+    a, b = at[chunks[:, 0]], at[chunks[:, 1] + 1] - 1
+    return at, chunks, np.stack([spans_hash(buf, a, b), spans_hash(buf, a, b, OTHER_BASE)], axis=1).view(np.int64)
 
 
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+def _content(data: bytes, at: np.ndarray, first: int, last: int) -> bytes:
+    """The bytes of a chunk; of more than two lines all but one are empty, and are only counted."""
+    if last - first == 1:
+        return data[at[first] : at[last + 1] - 1]
+    one, side = (first, b">") if at[first + 1] - at[first] > 1 else (last, b"<")
+    return b"%d%s\n" % (last - first, side) + data[at[one] : at[one + 1] - 1] + b"\n\n"
+
+
 def multi_line_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, row, chunk, h1, h2) of every chunk of two lines or more with something in it."""
+    """(doc_id, row, chunk, h1, h2) of every chunk."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,11 +69,10 @@ def multi_line_chunks(docs: DataFrame) -> DataFrame:
                 rows, numbers, hashes = [], [], []
                 for i, text in enumerate(part.column(2).to_pylist()):
                     data = _bytes(text)
-                    at, first, h = chunk_lines(data)
-                    some = np.flatnonzero((np.diff(first) > 1) & (at[first[1:]] - at[first[:-1]] > np.diff(first)))
-                    rows.append(np.full(len(some), i))
-                    numbers.append(some)
-                    hashes.append(h[some])
+                    h = chunk_lines(data)[2]
+                    rows.append(np.full(len(h), i))
+                    numbers.append(np.arange(len(h)))
+                    hashes.append(h)
                 take, h = pa.array(np.concatenate(rows)), np.concatenate(hashes)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(np.concatenate(numbers).astype(np.int32)), pa.array(h[:, 0]), pa.array(h[:, 1])],
@@ -79,11 +92,11 @@ def chunk_bytes(docs: DataFrame) -> DataFrame:
                 rows, numbers, out = [], [], []
                 for i, (text, chunks) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
                     data = _bytes(text)
-                    at, first, _ = chunk_lines(data)
+                    at, spans, _ = chunk_lines(data)
                     for c in chunks:
                         rows.append(i)
                         numbers.append(c)
-                        out.append(data[at[first[c]] : at[first[c + 1]] - 1])
+                        out.append(_content(data, at, *spans[c].tolist()))
                 take = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(numbers, pa.int32()), pa.array(out, pa.binary())],
@@ -102,15 +115,18 @@ def _by_row(docs: DataFrame, chunks: DataFrame, rows: int, how: str) -> DataFram
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(row, chunk) of every chunk that equals an earlier one, byte by byte. ``docs``: doc_id,
-    row (a number of the document's id and text) and text."""
-    cut = written(multi_line_chunks(docs).distinct(), "chunks")
+    row (a number of the document's id and text) and text.
+
+    Of equal lines in a row, a chunk shares a line with the one before it; as its repeat it
+    would take a line of the first occurrence, and is none."""
+    cut = written(multi_line_chunks(docs), "chunks")
     place = F.struct("doc_id", "row", "chunk")
     first = cut.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     same = written(cut.join(first, ["h1", "h2"]).select("row", "chunk", "first"), "same-hash")
     # The first occurrences are among the rows of ``same`` themselves.
     data = written(chunk_bytes(_by_row(docs.dropDuplicates(["row"]), same, same.count(), "inner")).drop("doc_id"), "chunk-bytes")
     firsts = data.select(F.col("row").alias("first_row"), F.col("chunk").alias("first_chunk"), F.col("data").alias("first_data"))
-    later = same.filter((F.col("row") != F.col("first.row")) | (F.col("chunk") != F.col("first.chunk"))).select(
+    later = same.filter((F.col("row") != F.col("first.row")) | (F.col("chunk") > F.col("first.chunk") + 1)).select(
         "row", "chunk", F.col("first.row").alias("first_row"), F.col("first.chunk").alias("first_chunk")
     )
     compared = later.join(data, ["row", "chunk"]).join(firsts, ["first_row", "first_chunk"])
@@ -119,11 +135,12 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lines_col: str = "n_lines", removed_col: str = "n_removed") -> DataFrame:
-    """All rows and columns, with ``text_col`` cleared of repeated chunks, and the numbers of
-    lines before and of lines removed added; they replace columns of those names.
+    """All rows and columns, with ``text_col`` cleared of repeated runs of two lines or more, and
+    the numbers of lines before and of lines removed added; they replace columns of those names.
 
-    The first occurrence, by id, stays; removed chunks take their line breaks with them. Null
-    texts stay null; chunks without a character stay; a text that loses every line is empty.
+    A line goes if it is in a run of lines that the given texts have at an earlier place, by id
+    and line, and that does not overlap it. Removed lines take their line breaks with them. Null
+    texts stay null; runs without a character stay; a text that loses every line is empty.
     Rows that repeat an id and text are one document; null ids come first. Empty table: empty.
     """
     row = F.xxhash64(F.col(id_col), F.col(text_col))
@@ -144,10 +161,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     removed.append(0)
                     if chunks:
                         data = _bytes(text)
-                        at, first, _ = chunk_lines(data)
+                        at, spans, _ = chunk_lines(data)
                         keep = np.ones(len(at) - 1, dtype=bool)
-                        for c in chunks:
-                            keep[first[c] : first[c + 1]] = False
+                        for first, last in spans[chunks].tolist():
+                            keep[first : last + 1] = False
                         text = b"\n".join(data[at[i] : at[i + 1] - 1] for i in np.flatnonzero(keep).tolist()).decode("utf-8", "surrogatepass")
                         removed[-1] = int((~keep).sum())
                     texts.append(text)
@@ -166,19 +183,17 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def removed_by_brute_force(texts: dict[int, str]) -> dict[int, str]:
-    """The same result on a small corpus held in memory, for tests."""
-    seen: set[bytes] = set()
+    """The same result on a small corpus held in memory, over all runs of lines, for tests."""
+    seen: dict[tuple[bytes, ...], tuple[int, int]] = {}
     out = {}
     for doc in sorted(texts):
-        data = _bytes(texts[doc])
-        at, first, _ = chunk_lines(data)
-        kept: list[bytes] = []
-        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-            chunk = data[at[a] : at[b] - 1]
-            if b - a > 1 and len(chunk) >= b - a and hashlib.sha256(chunk).digest() in seen:
-                continue
-            if b - a > 1 and len(chunk) >= b - a:
-                seen.add(hashlib.sha256(chunk).digest())
-            kept.append(chunk)
-        out[doc] = b"\n".join(kept).decode()
+        lines = _bytes(texts[doc]).split(b"\n")
+        gone: set[int] = set()
+        for i in range(len(lines)):
+            for j in range(i + 2, len(lines) + 1):
+                run = tuple(lines[i:j])
+                there, start = seen.setdefault(run, (doc, i))
+                if any(run) and (there != doc or start + len(run) <= i):
+                    gone.update(range(i, j))
+        out[doc] = b"\n".join(x for i, x in enumerate(lines) if i not in gone).decode()
     return out

@@ -454,3 +454,26 @@ def test_chunks_of_odd_documents(spark):
     assert rows[0]["text"] == ROWS[0][1] and rows[2]["text"] is None and rows[3]["text"] == ""
     assert 0 < rows[1]["n_removed"] <= 14 and len(rows[1]["text"]) < len(ROWS[1][1])
     assert line_chunks.without_repeats(no_documents(spark)).count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 8, 20, 200])
+def test_whole_runs_of_lines_go(spark, n):
+    """Passages of any length from two lines on, by what stands around them alone."""
+    texts, expected = {}, {}
+    for p in range(12):
+        passage = [f"passage {p} of {n} line {i}" for i in range(n)]
+        texts[p] = "\n".join([f"own start {p}", *passage, f"own end {p}"])
+        texts[100 + p] = "\n".join([f"other start {p}", *passage, f"other end {p}"])
+        expected |= {p: texts[p], 100 + p: f"other start {p}\nother end {p}"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(docs).collect()} == expected
+
+
+def test_runs_with_empty_and_equal_lines(spark):
+    rng = np.random.default_rng(9)
+    texts = {d: "\n".join(rng.choice(["", "", "a", "b", "cc"], rng.integers(1, 12)).tolist()) for d in range(60)}
+    texts |= {-5: "x\nx\nx\nx\nx", -4: "y\n\n\n\nz", -3: "\n\ny\n\n\nw", -2: "v\n\n\n\nz\n"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in line_chunks.without_repeats(docs).collect()}
+    assert found == line_chunks.removed_by_brute_force(texts)
+    assert found[-5] == "x\nx" and found[-3] == "\n\nw" and found[-2] == "v\n"
