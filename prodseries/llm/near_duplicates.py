@@ -30,6 +30,9 @@ LANES = 64 // LOW_BITS
 # A pair at the threshold is estimated below it by this much once in some ten million times
 # (5.3 standard deviations of the corrected estimate with 160 two-bit lanes).
 ESTIMATE_SLACK = 0.2
+# Minima of a few shingles are not as independent: candidates of which one has no more than
+# these are confirmed without an estimate.
+SMALL_SET = 64
 # Members of a bucket that one task compares; larger buckets are dealt in pairs of blocks.
 BLOCK = 2048
 
@@ -77,7 +80,10 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 
 def packed_low_bits(low: np.ndarray) -> np.ndarray:
-    lanes = (low & np.uint32((1 << LOW_BITS) - 1)).astype(np.uint64).reshape(-1, LANES)
+    """Low bits of each minimum mixed with its function's number. The minima's own low bits come
+    from those of the shingles alone: two shingles would collide under all functions or none."""
+    own = mixed(low.astype(np.uint64) + (np.arange(HASHES, dtype=np.uint64) << np.uint64(32)))
+    lanes = (own & np.uint64((1 << LOW_BITS) - 1)).reshape(-1, LANES)
     return np.bitwise_or.reduce(lanes << (np.arange(LANES, dtype=np.uint64) * np.uint64(LOW_BITS)), axis=1)
 
 
@@ -182,9 +188,9 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def block_candidates(table: pa.Table, most: int):
     """For each member of the left block, the members of the right one that may be linked to it:
-    of another group, with ``most`` differing lanes at most, and with no earlier band in common
-    (so that a pair is looked at in one bucket only)."""
-    ids, root, own = (np.asarray(table[c], dtype=np.int64) for c in ("doc_id", "root", "own"))
+    of another group, with ``most`` differing lanes at most or a small set, and with no earlier
+    band in common (so that a pair is looked at in one bucket only)."""
+    ids, root, own, size = (np.asarray(table[c], dtype=np.int64) for c in ("doc_id", "root", "own", "n_shingles"))
     bits, bands = _matrix(table["bits"], HASHES // LANES), _matrix(table["bands"], BANDS)
     p, q, key = table["p"][0].as_py(), table["q"][0].as_py(), np.int64(table["key"][0].as_py()).view(np.uint64)
     odd, one = np.uint64(0x5555555555555555), np.uint64(1)
@@ -192,7 +198,8 @@ def block_candidates(table: pa.Table, most: int):
     for i in np.flatnonzero(own == p).tolist():
         x = bits[right] ^ bits[i]
         lanes = np.bitwise_count((x | (x >> one)) & odd).sum(axis=1)
-        hit = right[(lanes <= most) & (root[right] != root[i]) & ((ids[right] > ids[i]) if p == q else True)]
+        close = (lanes <= most) | (np.minimum(size[right], size[i]) <= SMALL_SET)
+        hit = right[close & (root[right] != root[i]) & ((ids[right] > ids[i]) if p == q else True)]
         if len(hit):
             first = (bands[hit] == bands[i]).argmax(axis=1)
             hit = hit[bands[i][first] == key]
@@ -203,7 +210,7 @@ def block_candidates(table: pa.Table, most: int):
 def apart_links(members: DataFrame, sets: DataFrame, least: float, percent: int) -> DataFrame:
     """Links (a, b) between members of a bucket that are in different groups.
 
-    ``members``: key, n, doc_id, root, bits, bands. Buckets over BLOCK members are dealt as
+    ``members``: key, n, doc_id, root, n_shingles, bits, bands. Buckets over BLOCK members are dealt as
     pairs of blocks, each of which is one bounded task group. Members whose estimates may reach
     the threshold get their full sets, and are compared where they are: a row goes out for each
     link that joins two groups, not for each pair.
@@ -211,7 +218,7 @@ def apart_links(members: DataFrame, sets: DataFrame, least: float, percent: int)
     blocks = F.ceil(F.col("n") / float(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "root", "bits", "bands"
+        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "root", "n_shingles", "bits", "bands"
     )
     chance = 1 / (1 << LOW_BITS)
     most = int((1.0 - (least * (1 - chance) + chance)) * HASHES)
@@ -250,7 +257,7 @@ def apart_links(members: DataFrame, sets: DataFrame, least: float, percent: int)
                     found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
-    schema = "key long, p int, q int, own int, doc_id long, root long, bits array<long>, bands array<long>"
+    schema = "key long, p int, q int, own int, doc_id long, root long, n_shingles long, bits array<long>, bands array<long>"
     wanted = dealt.groupBy("key", "p", "q").applyInArrow(near, schema)
     ordered = sets.select("doc_id", F.sort_array("shingles").alias("shingles"))
     return wanted.join(ordered, "doc_id").groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
@@ -279,10 +286,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     buckets = written(rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1"), "buckets")
     members = written(rows.join(buckets, "key"), "members")
 
-    bits = solid.select("doc_id", "bits")
+    bits = solid.select("doc_id", "n_shingles", "bits")
     least = percent / 100 - ESTIMATE_SLACK
     stars = members.filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
-    close = written(_estimated(stars, bits, least), "star-pairs")
+    close = written(_estimated(stars, bits, least, percent), "star-pairs")
     ids = members.select("doc_id").distinct()
     wanted = written(ids, "member-ids")
     sets = written(full_sets(base.join(maybe_broadcast(wanted, 32), "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
@@ -291,8 +298,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     apart = members.join(grouped, "doc_id")
     several = apart.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-    marks = solid.select("doc_id", "bits", "bands")
-    rest = apart.join(several, "key", "left_semi").join(marks, "doc_id").select("key", "n", "doc_id", "root", "bits", "bands")
+    marks = solid.select("doc_id", "n_shingles", "bits", "bands")
+    rest = apart.join(several, "key", "left_semi").join(marks, "doc_id").select("key", "n", "doc_id", "root", "n_shingles", "bits", "bands")
     more = written(apart_links(rest, sets, least, percent), "block-links")
     roots = connected(grouped.select("doc_id"), links.union(more)) if more.limit(1).count() else grouped
 
@@ -306,11 +313,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _estimated(pairs: DataFrame, bits: DataFrame, least: float) -> DataFrame:
-    left = bits.select(F.col("doc_id").alias("a"), F.col("bits").alias("ba"))
-    right = bits.select(F.col("doc_id").alias("b"), F.col("bits").alias("bb"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.filter(estimate(F.col("ba"), F.col("bb")) >= least).select("a", "b")
+def _estimated(pairs: DataFrame, bits: DataFrame, least: float, percent: int) -> DataFrame:
+    """The pairs whose sizes allow a link and whose estimates may reach it, or of small sets."""
+    left = bits.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na"), F.col("bits").alias("ba"))
+    right = bits.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb"), F.col("bits").alias("bb"))
+    both = pairs.join(left, "a").join(right, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    small = F.least("na", "nb") <= SMALL_SET
+    return both.filter(small | (estimate(F.col("ba"), F.col("bb")) >= least)).select("a", "b")
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

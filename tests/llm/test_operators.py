@@ -374,6 +374,27 @@ def test_estimate_is_corrected_for_chance(spark):
         assert abs(got - n / (2 * len(a) - n)) < 0.2
 
 
+def test_low_bits_collide_by_function():
+    rng = np.random.default_rng(7)
+    sets = rng.integers(0, 1 << 63, 2000).astype(np.uint64)
+    bits = np.stack([near_duplicates.packed_low_bits(near_duplicates.minima(s)) for s in sets.reshape(-1, 1)])
+    x = bits[::2] ^ bits[1::2]
+    lanes = np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1)
+    assert abs(lanes.mean() - 120) < 1 and 5 < lanes.std() < 6
+
+
+def test_links_of_four_and_five_shingles(spark):
+    """Texts of 7 and 8 words, at a similarity of exactly 0.8."""
+    rng = np.random.default_rng(8)
+    texts = {}
+    for p, words in enumerate(rng.integers(0, 1 << 40, (30_000, 8)).tolist()):
+        long = " ".join(map(str, words))
+        texts[2 * p], texts[2 * p + 1] = long, long.rsplit(" ", 1)[0]
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = near_duplicates.near_duplicates(docs, 4, 80)
+    assert found.filter("component_id <> doc_id - doc_id % 2").count() == 0
+
+
 def test_near_duplicates_of_odd_documents(spark):
     found = near_duplicates.near_duplicates(odd_documents(spark), 5, 80)
     rows = {}
