@@ -53,6 +53,11 @@ def maybe_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def row_key(*values: Column) -> Column:
+    """A number for each row's values, by which verdicts on rows are carried; a null is a value."""
+    return F.xxhash64(*[v.isNull() for v in values], *values)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     while name in df.columns:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from prodseries.llm.common import BROADCAST_BYTES, maybe_broadcast, written
+from prodseries.llm.common import BROADCAST_BYTES, maybe_broadcast, row_key, written
 
 # What separates words once A-Z are lower-cased: ASCII other than digits and letters.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -160,8 +160,10 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without an occurrence of a test window, with all their columns."""
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """The documents without an occurrence of a test window, with all their columns. Each row is
+    searched under a number of its own, so rows without an id are searched like all others."""
+    key = row_key(docs[id_col], docs[text_col])
+    base = docs.select(key.alias("doc_id"), docs[text_col].alias("text"))
     found, _ = phrase_matches(base, items)
-    dirty = found.select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, docs[id_col] == dirty["dirty_id"], "left_anti")
+    dirty = found.select(F.col("doc_id").alias("dirty_key")).distinct()
+    return docs.join(dirty, key == dirty["dirty_key"], "left_anti")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prodseries.llm.common import maybe_broadcast, written
+from prodseries.llm.common import free_name, maybe_broadcast, row_key, written
 from prodseries.llm.hashing import in_slices, joined, mixed, spans_hash, word_spans
 
 BANDS, ROWS = 32, 5
@@ -102,12 +102,12 @@ def _as_array(i64: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, bits); without shingles digest is null."""
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"
+    """(doc_id, row, n_shingles, digest, bands, bits); without shingles digest is null."""
+    schema = "doc_id long, row long, n_shingles long, digest binary, bands array<long>, bits array<long>"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, column = batch.column(0), batch.column(1)
+            ids, rows, column = batch.column(0), batch.column(1), batch.column(2)
             for a in range(0, len(ids), 256):
                 sets = shingle_sets(column.slice(a, 256).to_pylist(), k)
                 lows = [minima(s) if len(s) else None for s in sets]
@@ -115,15 +115,16 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(a, 256),
+                        rows.slice(a, 256),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
                         _as_array([none if m is None else band_keys(m) for m in lows]),
                         _as_array([none if m is None else packed_low_bits(m) for m in lows]),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "bands", "bits"],
+                    names=["doc_id", "row", "n_shingles", "digest", "bands", "bits"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    return docs.select("doc_id", "row", "text").mapInArrow(sign, schema)
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -268,49 +269,75 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
 
     Links: ``100 * |A and B| >= percent * |A or B|`` over sets of k-word shingles; texts without
     words are linked with nothing and kept. Rows that repeat an id and text give equal rows. A
-    row with a null id takes the component of equal texts and is kept only if it has none.
+    row with a null id takes part like all others, but only ids name a component: one without
+    an id in it has a null component_id, and one text of it is kept.
     Empty table: empty result; other columns are not read.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _found(docs, k, percent, id_col, text_col).drop("row")
+
+
+def _found(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates, with the number of each row's id and text as ``row``."""
+    doc_id = F.col(id_col).cast("long")
+    base = docs.select(doc_id.alias("doc_id"), row_key(doc_id, F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
     signed = written(signatures(base, k), "signatures")
     # Copies fold into their smallest document before anything is compared.
     folded = written(
         signed.filter("digest is not null").groupBy("digest").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"),
+            F.coalesce(F.min("doc_id"), F.xxhash64("digest")).alias("doc_id"), F.min("doc_id").alias("named"),
+            F.min("row").alias("first_row"), F.first("n_shingles").alias("n_shingles"),
             F.first("bands").alias("bands"), F.first("bits").alias("bits"),
         ),
         "folded",
     )
-    solid = folded.filter("doc_id is not null")
-    rows = solid.select("doc_id", F.explode("bands").alias("key"))
+    # Sets that no row with an id has go by a hash.
+    texts, nameless = base.select("doc_id", "text"), folded.filter("named is null")
+    some_nameless = nameless.limit(1).count() > 0
+    if some_nameless:
+        one = maybe_broadcast(written(nameless.select(F.col("first_row").alias("row"), F.col("doc_id").alias("node")), "nameless"), 48)
+        texts = texts.filter("doc_id is not null").union(base.join(one, "row").select("node", "text"))
+    rows = folded.select("doc_id", F.explode("bands").alias("key"))
     buckets = written(rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1"), "buckets")
     members = written(rows.join(buckets, "key"), "members")
 
-    bits = solid.select("doc_id", "n_shingles", "bits")
+    bits = folded.select("doc_id", "n_shingles", "bits")
     least = percent / 100 - ESTIMATE_SLACK
     stars = members.filter("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     close = written(_estimated(stars, bits, least, percent), "star-pairs")
     ids = members.select("doc_id").distinct()
     wanted = written(ids, "member-ids")
-    sets = written(full_sets(base.join(maybe_broadcast(wanted, 32), "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
+    sets = written(full_sets(texts.join(maybe_broadcast(wanted, 32), "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "sets")
     links = written(confirmed(close, sets, percent), "star-links")
     grouped = written(connected(wanted, links), "grouped")
 
     apart = members.join(grouped, "doc_id")
     several = apart.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
-    marks = solid.select("doc_id", "n_shingles", "bits", "bands")
+    marks = folded.select("doc_id", "n_shingles", "bits", "bands")
     rest = apart.join(several, "key", "left_semi").join(marks, "doc_id").select("key", "n", "doc_id", "root", "n_shingles", "bits", "bands")
     more = written(apart_links(rest, sets, least, percent), "block-links")
     roots = connected(grouped.select("doc_id"), links.union(more)) if more.limit(1).count() else grouped
 
-    whole = folded.select("digest", F.col("doc_id").alias("first_id")).join(
+    whole = folded.select("digest", "named", "first_row", F.col("doc_id").alias("first_id")).join(
         roots.select(F.col("doc_id").alias("first_id"), "root"), "first_id", "left"
-    ).select("digest", F.coalesce("root", "first_id").alias("root"))
-    return signed.select("doc_id", "n_shingles", "digest").join(whole, "digest", "left").select(
+    ).select("digest", "named", "first_row", "first_id", F.coalesce("root", "first_id").alias("root"))
+    if some_nameless:
+        # The smallest id of the component, and the row kept where it has none.
+        whole = written(whole, "whole")
+        names = whole.groupBy("root").agg(F.min("named").alias("component_id"))
+        whole = whole.join(names, "root").withColumn("first_row", F.when(F.col("first_id") == F.col("root"), F.col("first_row")))
+    else:
+        whole = whole.withColumn("component_id", F.col("root"))
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
+    only = F.col("doc_id").isNotNull() | F.col("digest").isNull() | F.col("row").eqNullSafe(F.col("first_row"))
+    return signed.select("doc_id", "row", "n_shingles", "digest").join(
+        whole.select("digest", "first_row", F.col("component_id").alias("component")), "digest", "left"
+    ).select(
         "doc_id",
+        "row",
         "n_shingles",
-        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("root")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        component.alias("component_id"),
+        (F.col("doc_id").eqNullSafe(component) & only).alias("kept"),
+    )
 
 
 def _estimated(pairs: DataFrame, bits: DataFrame, least: float, percent: int) -> DataFrame:
@@ -323,6 +350,17 @@ def _estimated(pairs: DataFrame, bits: DataFrame, least: float, percent: int) ->
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with the smallest id of their group, with all their columns."""
-    kept = near_duplicates(docs, k, percent, id_col, text_col).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    """The documents with the smallest id of their group, with all their columns; of a group
+    without an id, one row."""
+    kept = written(_found(docs, k, percent, id_col, text_col).filter("kept"), "kept")
+    key = row_key(docs[id_col].cast("long"), docs[text_col])
+    rows = kept.select(F.col("row").alias("kept_row")).distinct()
+    out = docs.join(rows, key == rows["kept_row"], "left_semi")
+    again = kept.filter("doc_id is null and n_shingles > 0").groupBy("row").count().filter("count > 1").select(F.col("row").alias("again_row"))
+    if not again.limit(1).count():
+        return out
+    name = free_name(docs, "row")
+    out = out.withColumn(name, row_key(F.col(id_col).cast("long"), F.col(text_col)))
+    here = out[name] == again["again_row"]
+    once = out.join(again, here, "left_semi").dropDuplicates([name])
+    return out.join(again, here, "left_anti").union(once).drop(name)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prodseries.llm.common import maybe_broadcast, written
+from prodseries.llm.common import maybe_broadcast, row_key, written
 from prodseries.llm.hashing import mixed, spans_hash
 from prodseries.llm.quality_rules import labelled_sample
 from prodseries.llm.text_stats import _LETTER, RATIOS, text_stats
@@ -125,16 +125,18 @@ def document_model(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
 
 
 def with_evidence(rows: DataFrame, model: DocumentModel) -> DataFrame:
-    """Add ``evidence`` to rows of (doc_id, host, path, text); the text goes."""
+    """Add ``evidence`` to rows of (doc_id, host, path, text, and ``key`` if they have it); the
+    text goes."""
+    names = [c for c in ("doc_id", "host", "path", "key") if c in rows.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                e = model.evidence(part.column(3).to_pylist())
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(3)), pa.array(e)], names=["doc_id", "host", "path", "evidence"])
+                e = model.evidence(part.column(len(names)).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(names))), pa.array(e)], names=[*names, "evidence"])
 
-    return rows.select("doc_id", "host", "path", "text").mapInArrow(run, "doc_id long, host string, path string, evidence double")
+    return rows.select(*names, "text").mapInArrow(run, rows.select(*names, F.lit(0.0).alias("evidence")).schema)
 
 
 def strength(spread: float, mean: float) -> float:
@@ -176,10 +178,17 @@ def posteriors(docs: DataFrame, labels: DataFrame, host: Column, path: Column, i
     has evidence, and all are kept. Repeated rows and null ids are scored alike; other columns
     are not read. Empty table: empty result.
     """
-    rows = docs.select(
+    return _scored(_rows(docs, host, path, id_col, text_col), labels, least)
+
+
+def _rows(docs: DataFrame, host: Column, path: Column, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"),
         F.col(text_col).alias("text"),
     )
+
+
+def _scored(rows: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     model = document_model(rows, labels)
     scored = written(with_evidence(rows, model), "evidence")
     sites, rate = site_posteriors(scored)
@@ -192,8 +201,12 @@ def posteriors(docs: DataFrame, labels: DataFrame, host: Column, path: Column, i
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose posterior is not below a half, with all their columns."""
-    found = posteriors(docs, labels, host, path, id_col, text_col)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
+    """The documents whose posterior is not below a half, with all their columns. The verdict is
+    on the row (its id, text and site), so rows without an id are kept or go one by one."""
+    rows = _rows(docs, host, path, id_col, text_col)
+    key = row_key(F.col("doc_id"), F.col("text"), F.col("host"), F.col("path"))
+    found = _scored(rows.withColumn("key", key), labels)
+    gone = found.filter(~F.col("kept")).select(F.col("key").alias("gone_key")).distinct()
     gone = maybe_broadcast(written(gone, "rejected"), 32)
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["gone_id"]), "left_anti")
+    mine = row_key(docs[id_col].cast("long"), docs[text_col], host.cast("string"), path.cast("string"))
+    return docs.join(gone, mine == gone["gone_key"], "left_anti")

@@ -4,9 +4,11 @@ import re
 
 import corpus_pipeline
 import pytest
-from tests.llm.odd import ROWS, no_documents, odd_documents
+from pyspark.sql import functions as F
+from tests.llm.odd import ROWS, labels, no_documents, odd_documents
 from tests.llm.test_operators import check_pieces, expected_ids, groups_by_brute_force
 
+from prodseries.llm import decontamination, near_duplicates, quality_classifier
 from prodseries.llm.line_chunks import removed_by_brute_force
 
 SF = "/root/testdata/sf0.001"
@@ -77,3 +79,48 @@ def test_odd_and_empty(spark, name):
         assert out.columns == docs.columns and out.count() <= len(ROWS)
     assert out.count() > 0
     assert STAGES[name](spark, no_documents(spark), SF).count() == 0
+
+
+def rows_of(frame):
+    return sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=str)
+
+
+def test_near_dedup_keeps_one_row_without_ids(spark):
+    words = [f"w{i}" for i in range(100)]
+    text, near, other = " ".join(words), " ".join([*words, "more"]), " ".join(reversed(words))
+    rows = [(None, near), (7, text), (None, other), (None, other), (None, other + " more"), (None, "single one here"), (None, None), (8, other.replace("w", "v"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = rows_of(near_duplicates.one_of_each(docs, 5, 80))
+    assert [r for r in found if r[0] is not None] == [(7, text), (8, other.replace("w", "v"))]
+    nameless = [t for d, t in found if d is None]
+    assert len(nameless) == 3 and {None, "single one here"} < set(nameless) and set(nameless) & {other, other + " more"}
+    got = near_duplicates.near_duplicates(docs, 5, 80).filter("doc_id is null and component_id = 7").collect()
+    assert [r["kept"] for r in got] == [False]
+
+
+def test_odd_rows_that_near_dedup_keeps(spark):
+    kept = near_duplicates.one_of_each(odd_documents(spark), 5, 80)
+    assert groups_by_brute_force(dict(ROWS[:2]), 5, 80)[1][1] == 0
+    gone = [ROWS[1], *[(8, ROWS[8][1])] * 2, (10, ROWS[11][1]), (None, ROWS[12][1])]
+    left = list(ROWS)
+    for row in gone:
+        left.remove(row)
+    assert rows_of(kept) == sorted(left, key=str)
+
+
+def test_rows_without_ids_are_decontaminated(spark):
+    words = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(None, f"x {words} y"), (None, "clean"), (None, None), (1, words), (2, "clean")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, words)], "item_id long, text string")
+    assert rows_of(decontamination.decontaminated(docs, items)) == sorted([(None, "clean"), (None, None), (2, "clean")], key=str)
+
+
+def test_rows_without_ids_are_judged_one_by_one(spark, monkeypatch):
+    def evidence(rows, model):
+        return rows.select("doc_id", "host", "path", *[c for c in rows.columns if c == "key"], F.when(F.col("text") == "bad", -9.0).otherwise(9.0).alias("evidence"))
+
+    monkeypatch.setattr(quality_classifier, "with_evidence", evidence)
+    rows = [(None, "good"), (None, "bad"), (None, None), (1, "good"), (2, "bad")]
+    docs = spark.createDataFrame([(*r, "src", "en") for r in rows], "doc_id long, text string, source string, lang string")
+    kept = quality_classifier.kept_documents(docs, labels(spark), F.col("source"), F.col("lang"))
+    assert rows_of(kept) == sorted([(None, "good"), (None, None), (1, "good")], key=str)
