@@ -19,6 +19,7 @@ from prodseries.llm import (
     sharding,
     substring_dedup,
     token_files,
+    vector_codes,
 )
 
 
@@ -101,6 +102,13 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_errors(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_arrays": op1_suffix_arrays,
     "op2_packing": op2_packing,
@@ -112,4 +120,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_sharding": op9_sharding,
     "op10_line_chunks": op10_line_chunks,
+    "op11_vector_codes": op11_vector_codes,
 }

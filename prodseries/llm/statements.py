@@ -41,7 +41,43 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, root AS component_id, doc_i
 FROM documents LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY 1) USING (doc_id)
 """
 
+ROUNDS = 6
+
+
+def _assigned(number: int) -> str:
+    """Each part with the nearest entry of codebook ``number``, the lower one of equals."""
+    return f"""assigned{number} AS MATERIALIZED (
+  SELECT r, p, any_value(part) AS part, min({{'d': d, 'e': e}}) AS near FROM (
+    SELECT r, parts.p, parts.v AS part, e, list_sum(list_transform(list_zip(parts.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+    FROM parts JOIN book{number} b ON parts.p = b.p) GROUP BY r, p)"""
+
+
+def _averaged(number: int) -> str:
+    """Codebook ``number``: averages of the round before, rounded down; unused entries stay."""
+    return f"""book{number} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM book{number - 1} b LEFT JOIN (
+    SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v FROM (
+      SELECT p, near.e AS e, j, sum(part[j])::BIGINT AS s, count(*) AS n
+      FROM assigned{number - 1}, (SELECT unnest(range(1, 9)) AS j) GROUP BY ALL) GROUP BY p, e) m ON b.p = m.p AND b.e = m.e)"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, q[8 * p + 1:8 * p + 8] AS v FROM kept, (SELECT unnest(range(8)) AS p)),
+book0 AS MATERIALIZED (SELECT p, r - 1 AS e, v FROM parts WHERE r <= 16),
+{"".join(f"{_assigned(i)},{chr(10)}{_averaged(i + 1)},{chr(10)}" for i in range(ROUNDS))}{_assigned(ROUNDS)},
+said AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM (
+  SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM book{ROUNDS})),
+coded AS (SELECT r, string_agg(lpad(lower(to_hex(near.e)), 2, '0'), '' ORDER BY p) AS code, sum(near.d)::BIGINT AS error
+  FROM assigned{ROUNDS} GROUP BY r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (r), said
+"""
+
 STATEMENTS: dict[str, str] = {
     "op3_decontamination": CONTAMINATION,
     "op8_near_duplicates": NEAR_DUPLICATES,
+    "op11_vector_codes": VECTOR_CODES,
 }
