@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseries.llm import (
+    conversation_repair,
     decontamination,
     language_id,
     line_chunks,
@@ -109,6 +110,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    repairs = conversation_repair.repaired(conversation_repair.damaged(conversations))
+    return conversation_repair.for_every_conversation(conversations, repairs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_arrays": op1_suffix_arrays,
     "op2_packing": op2_packing,
@@ -121,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_line_chunks": op10_line_chunks,
     "op11_vector_codes": op11_vector_codes,
+    "op13_conversation_repair": op13_conversation_repair,
 }
