@@ -17,6 +17,7 @@ from prodseries.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    recompression,
     sharding,
     substring_dedup,
     token_files,
@@ -110,6 +111,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompression.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     repairs = conversation_repair.repaired(conversation_repair.damaged(conversations))
@@ -128,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": op9_sharding,
     "op10_line_chunks": op10_line_chunks,
     "op11_vector_codes": op11_vector_codes,
+    "op12_recompression": op12_recompression,
     "op13_conversation_repair": op13_conversation_repair,
 }

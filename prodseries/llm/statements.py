@@ -76,8 +76,21 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
 FROM coded JOIN kept USING (r), said
 """
 
+WORD_REPEATS = r"""
+WITH docs AS MATERIALIZED (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+wins AS MATERIALIZED (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs WHERE len(w) >= 13)),
+firsts AS (SELECT win, min(doc_id) AS least FROM wins GROUP BY win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM wins JOIN firsts USING (win) WHERE least < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS said FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
 STATEMENTS: dict[str, str] = {
     "op3_decontamination": CONTAMINATION,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op11_vector_codes": VECTOR_CODES,
+    "op12_recompression": WORD_REPEATS,
 }
