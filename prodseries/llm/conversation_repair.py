@@ -418,7 +418,9 @@ def _repaired_run(table: pa.Table) -> pa.Table:
 
 def _digests(lines: DataFrame) -> DataFrame:
     """(key, repaired_sha256) of conversations whose rows come in order: a hash goes from line
-    to line, so each conversation is streamed through one task, but never held."""
+    to line, so each conversation is streamed through one task, but never held. ``lines`` is a
+    written table: over a join by the same key the planner would leave out the deal below, and
+    may then read the join's own one in pieces."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, state = None, None
@@ -497,7 +499,7 @@ def repaired(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     ids = open_runs.select("key", "conv_id").distinct()
     shut = runs.filter("not open")
-    lines = _lines(fixed.join(ids, "key"))
+    lines = written(_lines(fixed.join(ids, "key")), "repaired-lines")
     audits = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "audit"))), lambda x: x.audit), "")
     across = (
         behind.filter("last").join(fixed.groupBy("key").agg(audits.alias("audit")), "key").join(_digests(lines), "key", "left").join(ids, "key")

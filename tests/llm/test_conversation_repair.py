@@ -182,14 +182,18 @@ def test_conversations_over_several_ranges(spark, width):
     rows += [(7, 50, "user", "The same.")] * 150
     rows += [(c, t, r, x) for c in range(20, 60) for t, (r, x) in enumerate(random_rows(rng, rng.randrange(1, 9)))]
     rows += [(None, 1, "user", "Hello."), (None, None, None, None), (None, 1, "assistant", "Hello."), (3, None, "user", None)]
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", width)
+    # Joins turn into broadcasts only at run time, which takes the deal by key from their results.
+    settings = {"spark.sql.shuffle.partitions": width, "spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         repairs = cr.repaired(frame(spark, rows).repartition(5))
         found = collected(repairs.conversations)
         lines = repairs.rows.orderBy("part", "place").collect()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     want = by_conversation(rows)
     import sys
     sys.setrecursionlimit(10_000)
