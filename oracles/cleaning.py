@@ -106,6 +106,12 @@ CLEANING["raw_wide_to_long"] = """
 SELECT row_ord, col_ord, token AS period_raw, series_code, series_description, value_raw
 FROM sheet_cells JOIN series_dim USING (col_ord)"""
 
+# Read from files, rows are counted on from the two header rows and empty cells are NULL.
+CLEANING["sheet_files"] = """
+SELECT 1 + dense_rank() OVER (ORDER BY row_ord) AS row_ord, col_ord, token AS period_raw, series_code, series_description,
+       nullif(value_raw, '') AS value_raw
+FROM sheet_cells JOIN series_dim USING (col_ord)"""
+
 
 def _period(token: str) -> str:
     month = f"list_position({MONTH_LIST}, lower({token}[1:3]))"

@@ -24,6 +24,9 @@ FACTS["gap_flag_counts"] = "SELECT * FROM flag_counts"
 FACTS["transform_report"] = """
 SELECT count(*) AS rows_tidy, count(DISTINCT period_date) AS unique_periods,
        count(DISTINCT mineral) AS unique_minerales, count(DISTINCT departamento) AS unique_departamentos,
+       string_agg(DISTINCT unidad, ',' ORDER BY unidad) AS units_detected,
+       (SELECT count(*) FROM agg_m) AS rows_agg_mineral_period,
+       (SELECT count(*) FROM agg_d) AS rows_agg_departamento_period,
        min(period_date) AS period_min, max(period_date) AS period_max
 FROM tidy"""
 FACTS["domain_values"] = """
@@ -205,9 +208,11 @@ BLOCKS["trend"] = """
   SELECT period_date, mineral, coalesce(sum(value), 0) AS value
   FROM tidy WHERE is_total_departamento AND unidad = 'tm.f' GROUP BY period_date, mineral"""
 FACTS["official_trend"] = "SELECT * FROM trend"
-FACTS["trend_pivot"] = """
+# The brands in tonnes: every third of 25.
+_TREND_COLUMNS = ", ".join(f"'Brand_{n}'" for n in range(3, 26, 3))
+FACTS["trend_pivot"] = f"""
 SELECT * FROM (PIVOT (SELECT period_date, replace(mineral, '#', '_') AS mineral, value FROM trend)
-  ON mineral USING max(value) GROUP BY period_date)"""
+  ON mineral IN ({_TREND_COLUMNS}) USING max(value) GROUP BY period_date)"""
 FACTS["eda_summary"] = """
 SELECT min(period_date) AS period_min, max(period_date) AS period_max,
        count(DISTINCT period_yyyymm) AS n_periods, count(DISTINCT mineral) AS n_minerales,
@@ -221,6 +226,8 @@ SELECT min(period_date) AS period_min, max(period_date) AS period_max,
        (SELECT value FROM sig_dept) AS top_departamento_value,
        (SELECT label FROM sig_gap) AS top_gap_mineral_label,
        (SELECT value FROM sig_gap) AS top_gap_mineral_value,
+       string_agg(DISTINCT unidad, ',' ORDER BY unidad) AS units,
+       1.0::DOUBLE AS gap_ok_max_abs, 5.0::DOUBLE AS gap_warning_max_abs,
        (SELECT ok FROM flag_counts) AS gap_ok, (SELECT warning FROM flag_counts) AS gap_warning,
        (SELECT critical FROM flag_counts) AS gap_critical,
        (SELECT CAST(coalesce(sum(n_outliers), 0) AS BIGINT) FROM outliers) AS n_outliers_detail_iqr
@@ -269,8 +276,19 @@ FACTS["feature_report"] = """
 SELECT level, count(*) AS n_rows, count(DISTINCT series_id) AS n_series,
        count(*) FILTER (WHERE l12 IS NOT NULL AND t1 IS NOT NULL) AS ready_h1_rows,
        count(*) FILTER (WHERE l12 IS NOT NULL AND t3 IS NOT NULL) AS ready_h3_rows,
-       min(period_date) AS period_min, max(period_date) AS period_max
+       min(period_date) AS period_min, max(period_date) AS period_max, (SELECT count(*) FROM tidy) AS rows_input_tidy
 FROM (SELECT *, lag(target_value, 12) OVER s AS l12, lead(target_value, 1) OVER s AS t1,
              lead(target_value, 3) OVER s AS t3
       FROM targets WINDOW s AS (PARTITION BY level, series_id ORDER BY period_date))
 GROUP BY level"""
+
+# ------------------------------------------------------------------------ staged tables
+
+FACTS["ordered_tidy"] = """
+SELECT period_date, mineral, departamento, series_code, value,
+       row_number() OVER (ORDER BY period_date, mineral, departamento, series_code) - 1 AS row_no
+FROM tidy"""
+FACTS["staged_csv"] = "SELECT * FROM tidy"
+FACTS["staged_features"] = """
+SELECT level, series_id, mineral, departamento, unidad, period_date, target_value
+FROM targets WHERE target_value IS NOT NULL"""

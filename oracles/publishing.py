@@ -94,6 +94,10 @@ BLOCKS["docs"] = """
          'fase8_operational' AS source_phase, 'series_mae_dynamic' AS source_selection_mode
   FROM frozen GROUP BY selected_model, level, series_id"""
 PUBLISHING["prediction_documents"] = "SELECT * FROM docs"
+PUBLISHING["document_lineage"] = """
+SELECT prediction_id, n_points, 'fase8_operational' AS phase, 'series_mae_dynamic' AS selection_mode,
+       10.0::DOUBLE AS dynamic_tolerance_pct
+FROM docs"""
 PUBLISHING["prediction_doc_summary"] = """
 SELECT model, count(*) AS documents, count(*) FILTER (WHERE is_flat_forecast) AS flat_documents
 FROM docs GROUP BY model"""

@@ -126,6 +126,9 @@ def eda_summary(
             F.count_distinct("period_yyyymm").alias("n_periods"),
             F.count_distinct("mineral").alias("n_minerales"),
             F.count_distinct(F.when(~is_total, F.col("departamento"))).alias("n_departamentos"),
+            F.sort_array(F.collect_set("unidad")).alias("units"),
+            F.lit(ok_max).alias("gap_ok_max_abs"),
+            F.lit(warning_max).alias("gap_warning_max_abs"),
             *[
                 F.coalesce(F.sum(F.when(kind, F.col("n_rows"))), F.lit(0)).alias(name)
                 for name, kind in (("rows_tidy", F.lit(True)), ("rows_official", is_total), ("rows_detail", ~is_total))

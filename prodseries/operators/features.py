@@ -112,8 +112,9 @@ def target_history(tidy: DataFrame) -> DataFrame:
     return series_targets(tidy).filter(F.col("target_value").isNotNull())
 
 
-def feature_report(national: DataFrame, departamento: DataFrame) -> DataFrame:
-    """One row of coverage counters per level."""
+def feature_report(national: DataFrame, departamento: DataFrame, tidy: DataFrame | None = None) -> DataFrame:
+    """One row of coverage counters per level, with the rows of the tidy table they come from
+    where it is given."""
 
     def report(df: DataFrame, level: str) -> DataFrame:
         return df.agg(
@@ -126,4 +127,7 @@ def feature_report(national: DataFrame, departamento: DataFrame) -> DataFrame:
             F.max("period_date").alias("period_max"),
         )
 
-    return report(national, NATIONAL_LEVEL).unionByName(report(departamento, DEPARTMENT_LEVEL))
+    both = report(national, NATIONAL_LEVEL).unionByName(report(departamento, DEPARTMENT_LEVEL))
+    if tidy is None:
+        return both
+    return both.withColumn("rows_input_tidy", tidy.agg(F.count("*")).scalar())

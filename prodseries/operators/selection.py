@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -200,3 +201,39 @@ def series_coverage(forecasts: DataFrame) -> DataFrame:
             )
         )
     )
+
+
+FALLBACK_RULE = "lowest mean mae of the level"
+
+
+def operational_report(
+    operational: OperationalForecast, board: DataFrame, mode: str, tolerance_pct: float, start: Column, end: Column
+) -> DataFrame:
+    """What a freeze did, as one nested row: the rule, the window, the levels' models, rows of
+    its outputs, and model usage and coverage in series. Every part is an aggregate of one row."""
+    forecasts = operational.forecasts
+    index = [*FORECAST_CONTEXT, "selected_model", "last_observed_period"]
+
+    def listed(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias(name))
+
+    rows = ["operational_forecast", "operational_executive", "operational_skipped"]
+    tables = [forecasts, forecasts.select(*index).distinct(), operational.skipped]
+    parts = [t.agg(F.count("*").alias(name)) for t, name in zip(tables, rows, strict=True)]
+    parts += [
+        listed(select_by_level(board), "selected_models"),
+        listed(model_usage(forecasts), "model_usage"),
+        listed(series_coverage(forecasts), "series_coverage"),
+    ]
+    # Laid side by side by stacking them with NULLs and taking the only value of each column.
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    rule = {"mode": mode, "fallback": FALLBACK_RULE, "dynamic_tolerance_pct": tolerance_pct}
+    months = (F.months_between(end, start) + 1).cast("int")
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns]).select(
+        F.struct(*[F.lit(v).alias(k) for k, v in rule.items()]).alias("selection_rule"),
+        F.struct(start.alias("start"), end.alias("end"), months.alias("months")).alias("forecast_window"),
+        F.struct(*rows).alias("rows"),
+        "selected_models",
+        "model_usage",
+        "series_coverage",
+    )

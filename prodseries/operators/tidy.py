@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,16 +103,22 @@ def dimension_counts(tidy: DataFrame) -> DataFrame:
     ).agg(F.count("*").alias("n_rows"))
 
 
-def transform_report(base: DataFrame) -> DataFrame:
-    """Row and distinct counts of the tidy table, as one row."""
-    return dimension_counts(tidy_observations(base)).agg(
+def transform_report(base: DataFrame, agg_mineral: DataFrame | None = None, agg_departamento: DataFrame | None = None) -> DataFrame:
+    """Row and distinct counts of the tidy table, and rows of the aggregates that are given, as
+    one row."""
+    own = dimension_counts(tidy_observations(base)).agg(
         F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_tidy"),
         F.count_distinct("period_date").alias("unique_periods"),
         F.count_distinct("mineral").alias("unique_minerales"),
         F.count_distinct("departamento").alias("unique_departamentos"),
+        F.sort_array(F.collect_set("unidad")).alias("units_detected"),
         F.min("period_date").alias("period_min"),
         F.max("period_date").alias("period_max"),
     )
+    named = {"rows_agg_mineral_period": agg_mineral, "rows_agg_departamento_period": agg_departamento}
+    parts = [own, *[df.agg(F.count("*").alias(name)) for name, df in named.items() if df is not None]]
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def domain_values(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -84,7 +84,8 @@ class MonthlyRun:
         facts = self.write(tidy.tidy_observations(base), "processed/tidy", "year")
         self.write(tidy.agg_mineral_period(facts), "processed/agg_mineral_period")
         self.write(tidy.agg_departamento_period(facts), "processed/agg_departamento_period")
-        self.report(tidy.transform_report(base), "transforms")
+        aggregates = [self.table(f"processed/agg_{name}_period") for name in ("mineral", "departamento")]
+        self.report(tidy.transform_report(base, *aggregates), "transforms")
         self.report(tidy.domain_values(facts, ["unidad"]), "transform_units")
 
     def explore(self) -> None:
@@ -102,7 +103,7 @@ class MonthlyRun:
         facts = self.table("processed/tidy")
         national = self.write(features.national_features(facts), "processed/features_national")
         departamento = self.write(features.departamento_features(facts), "processed/features_departamento")
-        self.report(features.feature_report(national, departamento), "features")
+        self.report(features.feature_report(national, departamento, facts), "features")
 
     def history(self) -> DataFrame:
         return series_history(
@@ -135,22 +136,12 @@ class MonthlyRun:
         self.write(frozen.skipped, "reports/operational_skipped")
         self.report(selection.model_usage(forecasts), "model_usage")
         self.report(selection.series_coverage(forecasts), "series_coverage")
-        rule = F.struct(
-            F.lit(s.selection_mode).alias("mode"), F.lit(s.dynamic_tolerance_pct).alias("dynamic_tolerance_pct")
-        )
-        window = F.struct(
-            F.lit(s.window_start).alias("start"), F.lit(s.window_end).alias("end"), F.lit(len(months)).alias("months")
-        )
-        # Two levels, and three tables whose sizes stand in their files.
-        levels = selection.select_by_level(self.table("reports/leaderboard")).agg(
-            F.array_sort(F.collect_list(F.struct("level", "level_model"))).alias("selected_models")
-        )
-        outputs = ["processed/operational_forecast", "processed/operational_executive", "reports/operational_skipped"]
-        rows = F.struct(*[F.lit(self.table(name).count()).alias(name.split("/")[1]) for name in outputs])
-        self.report(
-            levels.select(rule.alias("selection_rule"), window.alias("forecast_window"), rows.alias("rows"), "selected_models"),
-            "operational_forecast",
+        stored = selection.OperationalForecast(forecasts, self.table("reports/operational_skipped"))
+        report = selection.operational_report(
+            stored, self.table("reports/leaderboard"), s.selection_mode, s.dynamic_tolerance_pct,
+            F.lit(s.window_start), F.lit(s.window_end),
         )
+        self.report(report, "operational_forecast")
 
     def publish_facts(self) -> dict[str, dict[str, int]]:
         s = self.settings

@@ -16,7 +16,8 @@ from prodseries.functions import text
 from prodseries.functions.measures import month_index
 from prodseries.operators import charts, cleaning, explore, features, forecast, publish, quality, selection, tidy
 from prodseries.schemas import DEPARTMENT_LEVEL, NATIONAL_LEVEL, SERIES_KEY
-from prodseries.sources import sheets, star
+from prodseries.session import scratch_path
+from prodseries.sources import sheets, star, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -77,7 +78,11 @@ def gap_flag_counts(spark, sf):
 
 @query
 def transform_report(spark, sf):
-    return tidy.transform_report(star.observations(spark, sf))
+    facts = _tidy(spark, sf)
+    report = tidy.transform_report(
+        star.observations(spark, sf), tidy.agg_mineral_period(facts), tidy.agg_departamento_period(facts)
+    )
+    return report.withColumn("units_detected", F.array_join("units_detected", ","))
 
 
 @query
@@ -85,6 +90,48 @@ def domain_values(spark, sf):
     return tidy.domain_values(_tidy(spark, sf), ["mineral", "departamento", "unidad"])
 
 
+# ---------------------------------------------------------------------- staged tables
+
+TIDY_ORDER = ["period_date", "mineral", "departamento", "series_code"]
+
+
+@query
+def ordered_tidy(spark, sf):
+    """The facts in their order, which the files that hold them tell."""
+    path = scratch_path(spark, "ordered-tidy")
+    tables.write_ordered(_tidy(spark, sf), path, TIDY_ORDER)
+    return tables.read_ordered(spark, path).select(*TIDY_ORDER, "value", "row_no")
+
+
+@query
+def staged_csv(spark, sf):
+    """The facts written as text with a byte order mark and read back under their types."""
+    facts, path = _tidy(spark, sf), scratch_path(spark, "staged-csv")
+    tables.write_table(facts, path, "csv", bom=True)
+    return tables.read_table(spark, path, facts.schema, "csv")
+
+
+@query
+def staged_features(spark, sf):
+    """Both feature tables written as text and loaded as forecasting history."""
+    facts = _tidy(spark, sf)
+    built = {NATIONAL_LEVEL: features.national_features(facts), DEPARTMENT_LEVEL: features.departamento_features(facts)}
+    loaded = []
+    for level, table in built.items():
+        path = scratch_path(spark, f"staged-{level}")
+        tables.write_table(table, path, "csv")
+        loaded.append(tables.as_feature_table(tables.read_table(spark, path, fmt="csv"), level))
+    return tables.series_history(*loaded)
+
+
+@query
+def staged_forecasts(spark, sf):
+    """Frozen forecasts written as text and loaded with their types."""
+    path = scratch_path(spark, "staged-forecasts")
+    tables.write_table(_operational(spark, sf).forecasts, path, "csv")
+    return rounded(tables.as_operational_forecasts(tables.read_table(spark, path, fmt="csv")), 4, "forecast_value")
+
+
 # ------------------------------------------------------------------------------- text
 
 
@@ -109,6 +156,16 @@ def raw_wide_to_long(spark, sf):
     )
 
 
+@query
+def sheet_files(spark, sf):
+    """The sheet written as a folder of delimited files and read back."""
+    path = scratch_path(spark, "sheet")
+    sheets.write_sheet(star.raw_sheet(spark, sf), path, files=3)
+    return sheets.sheet_to_long(sheets.read_sheet(spark, path)).select(
+        "row_ord", "col_ord", "period_raw", "series_code", "series_description", "value_raw"
+    )
+
+
 @query
 def parse_period_tokens(spark, sf):
     tokens = star.raw_sheet(spark, sf).filter("row_ord >= 2").select("row_ord", F.get("cells", 0).alias("token"))
@@ -246,7 +303,7 @@ def trend_pivot(spark, sf):
 def eda_summary(spark, sf):
     facts = _tidy(spark, sf)
     summary = explore.eda_summary(facts, tidy.agg_mineral_period(facts), tidy.agg_departamento_period(facts))
-    return rounded(summary, 6, "top_gap_mineral_value")
+    return rounded(summary, 6, "top_gap_mineral_value").withColumn("units", F.array_join("units", ","))
 
 
 # --------------------------------------------------------------------------- features
@@ -270,7 +327,7 @@ def departamento_features(spark, sf):
 @query
 def feature_report(spark, sf):
     facts = _tidy(spark, sf)
-    return features.feature_report(features.national_features(facts), features.departamento_features(facts))
+    return features.feature_report(features.national_features(facts), features.departamento_features(facts), facts)
 
 
 # ------------------------------------------------------------------------- forecasting
@@ -426,6 +483,33 @@ def series_coverage(spark, sf):
     return selection.series_coverage(_operational(spark, sf).forecasts)
 
 
+def _operational_report(spark: SparkSession, sf: str) -> DataFrame:
+    stages = _operational(spark, sf)
+    board = forecast.leaderboard(stages.backtest.metrics)
+    return selection.operational_report(
+        stages.operational, board, "series_mae_dynamic", selection.DYNAMIC_TOLERANCE_PCT, *_window(spark, sf)
+    )
+
+
+@query
+def operational_report(spark, sf):
+    report = _operational_report(spark, sf)
+    listed = {
+        "selected_models": ["level", "level_model"],
+        "model_usage": ["level", "selected_model", "series_count"],
+        "series_coverage": ["level", "series_count"],
+    }
+
+    def said(name: str) -> Column:
+        return F.array_join(F.transform(name, lambda x: F.concat_ws(":", *[x[c].cast("string") for c in listed[name]])), ",")
+
+    return report.select(
+        "selection_rule.mode", "selection_rule.dynamic_tolerance_pct",
+        *[F.col(f"forecast_window.{c}").alias(f"window_{c}") for c in ("start", "end", "months")],
+        "rows.*", *[said(name).alias(name) for name in listed],
+    )
+
+
 # -------------------------------------------------------------------------- publishing
 
 
@@ -509,6 +593,16 @@ def prediction_documents(spark, sf):
     return _flat(_documents(spark, sf))
 
 
+@query
+def document_lineage(spark, sf):
+    """Documents with the settings that the stored report of their forecasts recorded."""
+    path = scratch_path(spark, "operational-report")
+    tables.write_report(_operational_report(spark, sf), path)
+    recorded = publish.selection_metadata(spark.read.json(path))
+    documents = publish.prediction_documents(_operational(spark, sf).forecasts, recorded)
+    return documents.select("prediction_id", "forecast_stats.n_points", "source.phase", "source.selection_mode", "source.dynamic_tolerance_pct")
+
+
 @query
 def prediction_doc_summary(spark, sf):
     return publish.prediction_summary(_documents(spark, sf))

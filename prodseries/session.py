@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Everything here can be overridden by the cluster's own configuration; nothing in the
@@ -25,3 +28,21 @@ def build_session(app_name: str = "prodseries", master: str | None = None, **ext
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Only a session within
+    one machine may go without it; it then gets a temporary folder, named for later calls."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="prodseries-shared-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

@@ -6,58 +6,75 @@ token (ignored in the two header rows) and ``cells[k]`` belongs to column ``k``.
 
 from __future__ import annotations
 
-import csv
-import io
-from collections.abc import Iterator
+import re
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prodseries.functions.text import normalize_text, parse_period, parse_series_metadata
+from prodseries.sources.csv_text import cells_hold_line_breaks, numbered, quoted
 
-# Rows handed on at a time while a sheet is read.
-_ROWS = 256
+# Doubled quotes; blanks are kept; a cell may be of any length and a row of any width.
+SHEET_FORMAT = {
+    "header": False, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+    "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_other", "maxCharsPerColumn": -1,
+}
+_LEAST_COLUMNS = 20_480
+
+
+def _scan(spark: SparkSession, path: str, width: int, delimiter: str, line_breaks: bool) -> DataFrame:
+    """Rows as ``c0 .. c<width - 1>`` with their file and place; ``_other`` has the text of a row of
+    another width."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)] + [T.StructField("_other", T.StringType())])
+    reader = spark.read.schema(schema).options(sep=delimiter, multiLine=line_breaks, maxColumns=max(_LEAST_COLUMNS, 2 * width), **SHEET_FORMAT)
+    return reader.csv(path)
+
+
+def _width_of(record: Column, delimiter: str) -> Column:
+    """Cells of a row's text: the delimiters that are in no quoted cell, and one."""
+    mark = re.escape(delimiter)
+    bare = F.regexp_replace(record, rf'(^|{mark})\uFEFF?"[^"]*+(?:""[^"]*+)*+"', "$1")
+    return F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit(""))) + 1
 
 
 def read_sheet(spark: SparkSession, path: str, delimiter: str = ",") -> DataFrame:
-    """Read one delimited sheet as text cells, in file order, with or without a byte order mark.
+    """Read a delimited sheet as text cells, with or without a byte order mark.
+
+    ``path`` is a file or a folder of files that continue each other in order of their names;
+    ``row_ord`` counts their rows in that order. Cells may hold quotes (doubled), delimiters and
+    line breaks; rows may be of any width and are kept whole. An empty cell is NULL; empty lines
+    are skipped.
 
-    Cells may hold quotes (doubled), delimiters and line breaks, so a file is read by one task;
-    rows may be of any width and are kept whole. An empty cell is NULL.
+    Everything is done by the CSV source: a first pass finds the widest row, a second one reads
+    under a schema of that width. Files are read in blocks by many tasks; only if some cell
+    holds a line break is each file one task's, which streams it.
     """
+    line_breaks = cells_hold_line_breaks(spark, path)
+    # Under one column every wider row comes as its text.
+    widths = _scan(spark, path, 1, delimiter, line_breaks).select(
+        F.coalesce(_width_of(F.col("_other"), delimiter), F.lit(1)).alias("width"), "c0"
+    )
+    width = widths.agg(F.max("width").alias("width"), F.count("c0")).first()["width"] or 1
+    rows = _scan(spark, path, width, delimiter, line_breaks).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_place"),
+        F.coalesce(_width_of(F.col("_other"), delimiter), F.lit(width)).alias("_width"),
+        *[F.nullif(F.col(f"c{i}") if i else F.ltrim(F.col("c0"), F.lit("\ufeff")), F.lit("")).alias(f"c{i}") for i in range(width)],
+    )
+    return numbered(rows, "_file", "_block", "_place", "row_ord").select(
+        "row_ord", F.slice(F.array(*[f"c{i}" for i in range(width)]), F.lit(1), F.col("_width")).alias("cells")
+    )
+
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A cell may be longer than the parser's default bound.
-        csv.field_size_limit(1 << 31)
-        for batch in batches:
-            for content in batch.column("content"):
-                text = io.TextIOWrapper(io.BytesIO(content.as_py()), encoding="utf-8-sig", newline="")
-                held: list[list[str | None]] = []
-                number = 0
-
-                def out() -> pa.RecordBatch:
-                    return pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(range(number - len(held), number), pa.int64()),
-                            pa.array(held, pa.list_(pa.string())),
-                        ],
-                        names=["row_ord", "cells"],
-                    )
-
-                for row in csv.reader(text, delimiter=delimiter):
-                    if not row:
-                        continue
-                    held.append([cell or None for cell in row])
-                    number += 1
-                    if len(held) == _ROWS:
-                        yield out()
-                        held = []
-                if held:
-                    yield out()
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(rows, "row_ord long, cells array<string>")
+def write_sheet(sheet: DataFrame, path: str, delimiter: str = ",", files: int | None = None) -> None:
+    """Write a sheet as delimited text that ``read_sheet`` reads back: files in order of their
+    names hold the rows in order of ``row_ord``. Rows without any text are empty lines."""
+    files = files or int(sheet.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = F.array_join(F.transform("cells", lambda c: quoted(c, delimiter)), delimiter)
+    ordered = sheet.repartitionByRange(files, "row_ord").sortWithinPartitions("row_ord")
+    ordered.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
 def sheet_series(sheet: DataFrame) -> DataFrame:

@@ -8,24 +8,26 @@ from pyspark.sql import types as T
 
 from prodseries.functions.measures import nan_to_null
 from prodseries.schemas import FORECAST_CONTEXT, OPERATIONAL_SCHEMA, require_columns
+from prodseries.sources.csv_text import cells_hold_line_breaks, numbered
 
-# Doubled quotes, line breaks within cells, and blanks kept as they are. Reading makes a file one
-# task, so large tables come as several files.
-CSV_FORMAT = {
-    "quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
-}
+# Doubled quotes, and blanks kept as they are.
+CSV_FORMAT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet",
+    line_breaks: bool | None = None,
 ) -> DataFrame:
     """Scan a stage table. CSV text is coerced: a cell that is empty or does not fit its type is
-    NULL."""
+    NULL. ``line_breaks`` says whether cells may hold any, which makes each file one task's; None
+    looks for them in a pass over the text."""
     if fmt == "parquet":
         return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if fmt != "csv":
         raise ValueError(f"Unsupported format: {fmt}")
-    text = spark.read.csv(path, header=True, inferSchema=False, **CSV_FORMAT)
+    if line_breaks is None:
+        line_breaks = cells_hold_line_breaks(spark, path)
+    text = spark.read.csv(path, header=True, inferSchema=False, multiLine=line_breaks, **CSV_FORMAT)
     # An exported file may start with a byte order mark.
     text = text.toDF(*[c.lstrip("\ufeff") for c in text.columns])
     if schema is None:
@@ -49,12 +51,28 @@ def write_table(
             df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
             writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
             writer = writer.partitionBy(*partition_by) if partition_by else writer
-        kept = {k: v for k, v in CSV_FORMAT.items() if k != "multiLine"}
-        writer.options(header=True, **kept).csv(path)
+        writer.options(header=True, **CSV_FORMAT).csv(path)
     else:
         writer.parquet(path)
 
 
+def write_ordered(df: DataFrame, path: str, order: list[str], files: int | None = None) -> None:
+    """Replace a Parquet table by files that continue each other: rows are ranged over files in
+    ``order`` (NULLs last) and sorted in each. No task holds more than a range of the rows."""
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.asc_nulls_last(c) for c in order]
+    ordered = df.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, number: str = "row_no") -> DataFrame:
+    """An ordered table with each row's place in it, from its file's name and its place there.
+    Rows per file come from the files' footers."""
+    rows = spark.read.parquet(path)
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.lit(0).alias("_block"), F.col("_metadata.row_index").alias("_place"))
+    return numbered(placed, "_file", "_block", "_place", number)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").json(path)
 

@@ -45,5 +45,7 @@ def test_query(spark, duck, name):
     plan = result._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "NestedLoopJoin", "Python", "Pandas"):
         assert operator not in plan
-    cursor = duck.execute(ORACLES[name])
+    # As a view, which a statement with columns that only the data know cannot be.
+    duck.execute(f"CREATE OR REPLACE VIEW their_result AS {ORACLES[name]}")
+    cursor = duck.execute("SELECT * FROM their_result")
     assert mine == canonical([d[0] for d in cursor.description], cursor.fetchall())
