@@ -50,6 +50,11 @@ SELECT count(*) FILTER (WHERE write_status <> 'kept') AS n_operations,
        count(*) FILTER (WHERE write_status = 'inserted') AS upserted_count
 FROM fact_merge"""
 
+PUBLISHING["versioned_facts"] = "SELECT * EXCLUDE (write_status) FROM fact_merge"
+PUBLISHING["streamed_facts"] = f"""
+SELECT period_date, series_code, {", ".join(_FIELDS)}, 'v1' AS schema_version, {_OLD} AS ingested_at, {_OLD} AS updated_at
+FROM tidy"""
+
 _ADOC = "period_date, period_yyyymm, year, month, quarter, semester, unidad"
 BLOCKS["agg_docs"] = f"""
   SELECT 'mineral_period_unit|' || period_yyyymm || '|' || unidad || '|' || mineral AS aggregate_id,
@@ -75,6 +80,9 @@ SELECT aggregate_id, aggregation_level, {_ADOC}, mineral, departamento, dept_sum
 FROM (SELECT *, 12 * (SELECT year(max(period_date)) FROM agg_docs) + (SELECT month(max(period_date)) FROM agg_docs)
                 - 12 * year - month AS age FROM agg_docs)"""
 
+PUBLISHING["versioned_aggregates"] = f"""
+SELECT * EXCLUDE (write_status) FROM ({PUBLISHING["upsert_aggregates"].strip()})"""
+
 BLOCKS["docs"] = """
   SELECT selected_model || '|' || level || '|' || series_id || '|' ||
            strftime(min(forecast_period_date), '%Y-%m') || '|' || strftime(max(forecast_period_date), '%Y-%m')

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseries.operators import charts, cleaning, explore, features, forecast, publish, quality, selection, tidy
+from prodseries.operators.snapshots import SnapshotTable
 from prodseries.schemas import DEPARTMENT_LEVEL, GAP_OK_MAX, GAP_WARNING_MAX, NATIONAL_LEVEL
 from prodseries.sources.tables import as_feature_table, as_operational_forecasts, series_history, write_report, write_table
 
+PUBLISHED = {"facts": publish.FACTS, "aggregates": publish.AGGREGATES, "predictions": publish.PREDICTIONS}
+
 
 class QualityError(ValueError):
     """The base table failed a quality rule; later stages must not run on it."""
@@ -50,8 +53,14 @@ class MonthlyRun:
         return f"{self.root}/{name}"
 
     def table(self, name: str) -> DataFrame:
+        folder, _, own = name.partition("/")
+        if folder == "published" and own in PUBLISHED:
+            return self.published(own).rows()
         return self.spark.read.parquet(self.path(name))
 
+    def published(self, name: str) -> SnapshotTable:
+        return SnapshotTable(self.spark, self.path(f"published/{name}"), **PUBLISHED[name])
+
     def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         if partition_by:
             # Few, even files per partition however skewed the partitions are.
@@ -152,18 +161,18 @@ class MonthlyRun:
         period = publish.selected_period(facts, s.load_strategy, s.load_period)
         n_aggregates = sum(t.count() for t in tables[1:])
         return {
-            "facts": self._upsert("facts", publish.fact_documents(chosen), publish.FACTS, facts.count(), period),
-            "aggregates": self._upsert("aggregates", documents, publish.AGGREGATES, n_aggregates, period),
+            "facts": self._upsert("facts", publish.fact_documents(chosen), facts.count(), period),
+            "aggregates": self._upsert("aggregates", documents, n_aggregates, period),
         }
 
     def publish_predictions(self) -> dict[str, int]:
         metadata = publish.selection_metadata(self.spark.read.json(self.path("reports/operational_forecast")))
         forecasts = as_operational_forecasts(self.table("processed/operational_forecast"))
         documents = publish.prediction_documents(forecasts, metadata)
-        return self._upsert("predictions", documents, publish.PREDICTIONS, forecasts.count(), None)
+        return self._upsert("predictions", documents, forecasts.count(), None)
 
     def _upsert(
-        self, name: str, batch: DataFrame, table: dict, n_input: int, period: Column | None
+        self, name: str, batch: DataFrame, n_input: int, period: Column | None
     ) -> dict[str, int]:
         """Check a batch against its contract, load it unless this is a dry run, and report."""
         # The batch is read more than once while its months are located and merged.
@@ -173,9 +182,7 @@ class MonthlyRun:
         )
         counters = dict.fromkeys(publish.COUNTERS, 0)
         if not self.settings.dry_run:
-            counters = publish.upsert_table(
-                self.spark, self.path(f"published/{name}"), stored, now=self.settings.now, **table
-            )
+            counters = self.published(name).load(stored, self.settings.now)
         facts = {
             "collection": name,
             "strategy": self.settings.load_strategy,

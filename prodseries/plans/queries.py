@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from prodseries.functions import text
 from prodseries.functions.measures import month_index
-from prodseries.operators import charts, cleaning, explore, features, forecast, publish, quality, selection, tidy
+from prodseries.operators import charts, cleaning, explore, features, forecast, publish, quality, selection, snapshots, tidy
 from prodseries.schemas import DEPARTMENT_LEVEL, NATIONAL_LEVEL, SERIES_KEY
 from prodseries.session import scratch_path
 from prodseries.sources import sheets, star, tables
@@ -563,6 +563,52 @@ def upsert_aggregates(spark, sf):
     )
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """A batch as a stored table: a load reads it for its months and then for its rows."""
+    path = scratch_path(df.sparkSession, label)
+    tables.write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _two_loads(spark: SparkSession, table: dict, first: DataFrame, second: DataFrame) -> DataFrame:
+    stored = snapshots.SnapshotTable(spark, scratch_path(spark, "snapshots"), **table)
+    stored.load(_stored(first, "first-batch"), FIRST_LOAD)
+    stored.load(_stored(second, "second-batch"), SECOND_LOAD)
+    return stored.rows()
+
+
+@query
+def versioned_facts(spark, sf):
+    """The two loads of ``upsert_facts`` into a table of versions, as it then stands."""
+    facts = publish.fact_documents(_tidy(spark, sf))
+    age = _months_before_last(spark, sf)
+    preliminary = facts.filter(age >= 3).withColumn("value", F.floor(F.col("value") / 10) * 10.0)
+    return _two_loads(spark, publish.FACTS, preliminary, facts.filter(age < 6))
+
+
+@query
+def versioned_aggregates(spark, sf):
+    """The two loads of ``upsert_aggregates``, whose keys may be NULL in part."""
+    facts = _tidy(spark, sf)
+    documents = publish.aggregate_documents(tidy.agg_mineral_period(facts), tidy.agg_departamento_period(facts))
+    age = _months_before_last(spark, sf)
+    batch = documents.filter(age < 6).drop("n_departamentos", "n_minerales")
+    return rounded(_two_loads(spark, publish.AGGREGATES, documents.filter(age >= 3), batch), 6, "pct_gap_vs_total")
+
+
+@query
+def streamed_facts(spark, sf):
+    """Fact documents that arrive file by file, loaded by a stream that takes each batch once."""
+    source, checkpoint = scratch_path(spark, "arrivals"), scratch_path(spark, "stream")
+    documents = publish.fact_documents(_tidy(spark, sf))
+    documents.repartitionByRange(4, "period_date", "series_code").write.parquet(source)
+    stored = snapshots.SnapshotTable(spark, scratch_path(spark, "snapshots"), **publish.FACTS)
+    arriving = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    load = stored.loader("facts", lambda batch_id: FIRST_LOAD)
+    arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return stored.rows()
+
+
 def _flat(documents: DataFrame) -> DataFrame:
     """Nested fields as plain columns, points as text."""
     point = lambda p: F.concat_ws(
