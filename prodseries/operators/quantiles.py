@@ -7,9 +7,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Every group is cut into this many slices at most. Only the slices that hold a wanted rank are
-# sorted, so one task orders about 1/SLICES of a group's distinct values.
+from prodseries.session import scratch_path
+
+# Slices that a group, or a slice too large to be ranked, is cut into.
 SLICES = 256
+# Distinct values that one task ranks at most.
+RANKED = 100_000
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """A table in the shared folder: rounds over it neither recompute it nor grow its lineage."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def value_counts(df: DataFrame, groups: list[str], column: str) -> DataFrame:
@@ -37,39 +47,59 @@ def _slice_number() -> Column:
     )
 
 
-def exact_quantiles(counts: DataFrame, groups: list[str], fractions: list[float]) -> DataFrame:
-    """Linearly interpolated quantiles of ``value`` per group: columns ``q0, q1, ...``.
+def _holders(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """``rows`` of the slices that hold a wanted rank, each slice now a part of its own.
 
-    1. A mergeable sketch proposes cut points for each group (only balance depends on them).
-    2. Exact counts per slice locate the slices that contain the wanted ranks.
-    3. Only those slices are ranked.
+    ``rows``: groups, part, before (values of the group below the part), n_values, wanted (ranks),
+    value, copies. A mergeable sketch proposes the cuts of each part; only balance depends on it.
     """
+    keys = [*groups, "part"]
     cut_points = [i / SLICES for i in range(1, SLICES)]
-    # Every branch reads the multiplicities, so all of them share the one shuffle of ``counts``.
+    # Every branch reads the multiplicities, so all of them share the one shuffle of the rows.
     present = F.when(F.col("copies") > 0, F.col("value"))
-    cuts = counts.groupBy(*groups).agg(F.percentile_approx(present, cut_points, 10 * SLICES).alias("cuts"))
-    sliced = join_null_safe(counts, cuts, groups, "left").withColumn("slice", _slice_number()).drop("cuts")
+    cuts = rows.groupBy(*keys).agg(F.percentile_approx(present, cut_points, 10 * SLICES).alias("cuts"))
+    sliced = join_null_safe(rows, cuts, keys, "left").withColumn("slice", _slice_number()).drop("cuts")
+    running = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    held = (
+        sliced.groupBy(*keys, "slice")
+        .agg(F.sum("copies").alias("in_slice"), F.first("before").alias("start"), F.first("wanted").alias("ranks"))
+        .withColumn("start", F.col("start") + F.coalesce(F.sum("in_slice").over(running), F.lit(0)))
+        .filter(F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("in_slice"))))
+        .drop("in_slice", "ranks")
+    )
+    kept = join_null_safe(sliced, held, [*keys, "slice"])
+    return kept.select(
+        *groups, (F.col("part") * SLICES + F.col("slice")).alias("part"), F.col("start").alias("before"), "n_values", "wanted", "value", "copies"
+    )
+
 
-    running = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+def exact_quantiles(counts: DataFrame, groups: list[str], fractions: list[float]) -> DataFrame:
+    """Linearly interpolated quantiles of ``value`` per group: columns ``q0, q1, ...``.
+
+    Parts (at first whole groups) are cut into slices, exact counts per slice locate those that
+    hold a wanted rank, and these are the parts of the next round, until none has more than
+    RANKED distinct values. Only then are they ranked, so no task orders more than that however
+    large a group is. ``counts`` is read in every round: pass a stored table.
+    """
     ranks = [F.col("n_values") - 1] * len(fractions)
-    position = [rank * fraction for rank, fraction in zip(ranks, fractions)]
+    position = [rank * fraction for rank, fraction in zip(ranks, fractions, strict=True)]
     wanted = F.array(*[f(p).cast("bigint") for p in position for f in (F.floor, F.ceil)])
-    holders = (
-        sliced.groupBy(*groups, "slice")
-        .agg(F.sum("copies").alias("in_slice"))
-        .withColumn("before", F.coalesce(F.sum("in_slice").over(running), F.lit(0)))
-        .withColumn("n_values", F.sum("in_slice").over(Window.partitionBy(*groups)))
-        .withColumn("wanted", wanted)
-        .filter(
-            F.exists("wanted", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("in_slice")))
-        )
-        .drop("in_slice")
+    sizes = counts.groupBy(*groups).agg(F.sum("copies").alias("n_values")).withColumn("wanted", wanted)
+    rows = join_null_safe(counts, sizes, groups).select(
+        *groups, F.lit(0).cast("long").alias("part"), F.lit(0).cast("long").alias("before"), "n_values", "wanted", "value", "copies"
     )
-    within = Window.partitionBy(*groups, "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        join_null_safe(sliced, holders, [*groups, "slice"])
-        .withColumn("last_rank", F.col("before") + F.sum("copies").over(within) - 1)
-        .withColumn("first_rank", F.col("last_rank") - F.col("copies") + 1)
+
+    def largest(parts: DataFrame, keys: list[str]) -> int:
+        return parts.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+
+    size, rounds = largest(counts, groups), 0
+    while size > RANKED:
+        rows, rounds = stored(_holders(rows, groups), f"quantile-round-{rounds}"), rounds + 1
+        size = largest(rows, [*groups, "part"])
+
+    within = Window.partitionBy(*groups, "part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = rows.withColumn("last_rank", F.col("before") + F.sum("copies").over(within) - 1).withColumn(
+        "first_rank", F.col("last_rank") - F.col("copies") + 1
     )
 
     def value_at(i: int) -> Column:
@@ -93,7 +123,7 @@ def iqr_outliers(df: DataFrame, groups: list[str], column: str) -> DataFrame:
 
     Groups with a NULL key are groups of their own.
     """
-    counts = value_counts(df, groups, column)
+    counts = stored(value_counts(df, groups, column), "value-counts")
     quartiles = exact_quantiles(counts, groups, [0.25, 0.75]).select(
         *groups, "n_values", F.col("q0").alias("q1"), F.col("q1").alias("q3")
     )

@@ -34,6 +34,35 @@ def test_quantiles_equal_pandas(spark, monkeypatch, slices):
         assert got[key].n_outliers == int(((sample < low) | (sample > high)).sum())
 
 
+@pytest.mark.parametrize(("slices", "ranked"), [(2, 3), (4, 20), (16, 5)])
+def test_slices_are_sliced_until_they_can_be_ranked(spark, monkeypatch, slices, ranked):
+    """One group has all rows but a few; ties, infinities and few distinct values besides."""
+    monkeypatch.setattr(quantiles, "SLICES", slices)
+    monkeypatch.setattr(quantiles, "RANKED", ranked)
+    rounds = []
+    real = quantiles._holders
+
+    def counted(rows, groups):
+        out = real(rows, groups)
+        rounds.append(out)
+        return out
+
+    monkeypatch.setattr(quantiles, "_holders", counted)
+    rng = random.Random(slices)
+    data = [("all", rng.gauss(0, 1e6)) for _ in range(1200)] + [("all", 7.0)] * 300
+    data += [(None, float(i % 4)) for i in range(40)] + [("inf", float("inf"))] * 3 + [("inf", 1.0), ("one", 2.5)]
+    got = {r.g: r for r in quantiles.iqr_outliers(grouped(spark, data), ["g"], "v").collect()}
+    frame = pd.DataFrame([d for d in data if d[0] != "inf"], columns=["g", "v"])
+    for name, group in frame.groupby("g", dropna=False):
+        key = None if pd.isna(name) else name
+        assert got[key].q1 == pytest.approx(group["v"].quantile(0.25), abs=1e-9)
+        assert got[key].q3 == pytest.approx(group["v"].quantile(0.75), abs=1e-9)
+    assert got["inf"].q3 == float("inf")
+    assert len(rounds) >= 2
+    last = rounds[-1].groupBy("g", "part").count().agg({"count": "max"}).first()[0]
+    assert last <= ranked
+
+
 def series(spark, values, start=0, gap_after=None):
     rows, month = [], start
     for i, v in enumerate(values):
