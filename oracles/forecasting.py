@@ -14,6 +14,7 @@ BLOCKS["hist"] = """
          row_number() OVER s AS rn, count(*) OVER (PARTITION BY level, series_id) AS n_rows,
          target_value - lag(target_value, 1) OVER s AS d0,
          lag(target_value, 1) OVER s - lag(target_value, 2) OVER s AS d1,
+         lag(target_value, 2) OVER s - lag(target_value, 3) OVER s AS d2,
          lag(target_value, 12) OVER s - lag(target_value, 13) OVER s AS d12
   FROM targets WHERE target_value IS NOT NULL
   WINDOW s AS (PARTITION BY level, series_id ORDER BY period_date)"""
@@ -57,6 +58,88 @@ BLOCKS["paths"] = """
   LEFT JOIN season s ON s.level = f.level AND s.series_id = f.series_id AND s.holdout = f.holdout
        AND s.m = (f.last_x + step - 1) % 12 + 1"""
 
+# Least squares by elimination: the rows of [moments | targets] are swept one unknown at a time.
+def _swept(matrix: str, n: int) -> str:
+    return f"""list_transform(list_reduce(range(1, {n + 1}), lambda m, i: list_transform(m, lambda row, r:
+      CASE WHEN r = i THEN list_transform(row, lambda v: v / m[i][i])
+           ELSE list_transform(row, lambda v, c: v - m[r][i] / m[i][i] * m[i][c]) END), {matrix}), lambda row: row[{n + 1}])"""
+
+
+def _moments(terms: list[str], target: str, ridges: list[float]) -> str:
+    rows = []
+    for i, a in enumerate(terms):
+        cells = [f"sum({a} * {b})" + (f" + {ridges[i]}" if i == j else "") for j, b in enumerate(terms)]
+        rows.append(f"[{', '.join(cells)}, sum({a} * {target})]")
+    return f"[{', '.join(rows)}]"
+
+
+_FIT_KEYS = "level, series_id, holdout"
+BLOCKS["long_ar"] = f"""
+  SELECT {_FIT_KEYS}, {_swept("mm", 3)} AS g FROM (
+    SELECT {_FIT_KEYS}, {_moments(["d1", "d2", "d12"], "d0", [0, 0, 0])} AS mm
+    FROM train WHERE rn >= 14 GROUP BY {_FIT_KEYS})"""
+BLOCKS["residuals_e"] = f"""
+  SELECT {_FIT_KEYS}, rn, d0, d1, d12, e0, lag(e0) OVER (PARTITION BY {_FIT_KEYS} ORDER BY rn) AS e1
+  FROM (SELECT {_FIT_KEYS}, rn, d0, d1, d12, CASE WHEN rn >= 14 THEN d0 - g[1] * d1 - g[2] * d2 - g[3] * d12 END AS e0
+        FROM train JOIN long_ar USING ({_FIT_KEYS}))"""
+BLOCKS["arma"] = f"""
+  SELECT {_FIT_KEYS}, {_swept("mm", 3)} AS g, e_last FROM (
+    SELECT {_FIT_KEYS}, {_moments(["d1", "d12", "e1"], "d0", [0, 0, 0])} AS mm, arg_max(e0, rn) AS e_last
+    FROM residuals_e WHERE rn >= 15 GROUP BY {_FIT_KEYS})"""
+HEADS["arma_path"] = "arma_path(level, series_id, holdout, g, e, step, levels)"
+BLOCKS["arma_path"] = f"""
+  SELECT level, series_id, holdout, g, e_last, 0, tail FROM arma JOIN fit USING ({_FIT_KEYS}) WHERE train_rows >= 24
+  UNION ALL
+  SELECT level, series_id, holdout, g, 0.0, step + 1,
+         list_append(levels, levels[-1] + g[1] * (levels[-1] - levels[-2]) + g[2] * (levels[-12] - levels[-13]) + g[3] * e)
+  FROM arma_path WHERE step < 12"""
+
+
+def _span_terms(share: str, x: str) -> list[str]:
+    waves = [f"{f}(2 * pi() * {k} * ({x}) / 12)" for k in (1, 2) for f in ("sin", "cos")]
+    return ["1.0", f"({share})", *[f"greatest(({share}) - {c}, 0.0)" for c in (0.2, 0.4, 0.6, 0.8)], *waves]
+
+
+_Z = [f"z[{i}]" for i in range(1, 11)]
+BLOCKS["span_rows"] = f"""
+  SELECT *, [{', '.join(_span_terms("share", "x"))}] AS z
+  FROM (SELECT *, (x - min(x) OVER s)::DOUBLE / (max(x) OVER s - min(x) OVER s) AS share, min(x) OVER s AS x_first
+        FROM train WINDOW s AS (PARTITION BY {_FIT_KEYS}))"""
+BLOCKS["span_fit"] = f"""
+  SELECT {_FIT_KEYS}, x_first, x_last, {_swept("mm", 10)} AS g FROM (
+    SELECT {_FIT_KEYS}, min(x_first) AS x_first, max(x) AS x_last,
+           {_moments(_Z, "y", [0, 0] + [0.1] * 8)} AS mm
+    FROM span_rows WHERE train_rows >= 24 GROUP BY {_FIT_KEYS})"""
+BLOCKS["all_paths"] = f"""
+  SELECT level, series_id, holdout, model, step, y_pred FROM paths WHERE step <= 12
+  UNION ALL SELECT level, series_id, holdout, 'seasonal_arma', step, levels[-1] FROM arma_path WHERE step > 0
+  UNION ALL SELECT level, series_id, holdout, 'trend_changepoints', step,
+    list_sum(list_transform(list_zip(g, [{', '.join(_span_terms("(x_last + step - x_first)::DOUBLE / (x_last - x_first)", "x_last + step"))}]),
+             lambda p: p[1] * p[2]))
+  FROM span_fit CROSS JOIN range(1, 13) r(step)"""
+
+
+def _by_name(model: str) -> str:
+    return f"""
+SELECT {_CONTEXT}, CAST(step AS INTEGER) AS horizon_step,
+       CAST(last_period + to_months(CAST(step AS INTEGER)) AS DATE) AS forecast_period_date,
+       round(y_pred, 3) AS forecast_value
+FROM all_paths JOIN fit USING ({_FIT_KEYS}) WHERE holdout = 0 AND model = '{model}'"""
+
+
+FORECASTING["forecast_seasonal_arma"] = _by_name("seasonal_arma")
+FORECASTING["forecast_trend_changepoints"] = _by_name("trend_changepoints")
+FORECASTING["leaderboard_of_all_models"] = """
+SELECT level, model, count(DISTINCT series_id) AS n_series, round(avg(mae), 3) AS mae_mean, round(avg(rmse), 3) AS rmse_mean,
+       round(avg(mape), 3) AS mape_mean, round(avg(smape), 3) AS smape_mean
+FROM (SELECT p.level, p.series_id, model, avg(abs(y - y_pred)) AS mae, sqrt(avg((y - y_pred) * (y - y_pred))) AS rmse,
+             avg(abs(y - y_pred) / abs(y)) FILTER (WHERE y <> 0) * 100 AS mape,
+             avg(2 * abs(y - y_pred) / (abs(y) + abs(y_pred))) FILTER (WHERE abs(y) + abs(y_pred) <> 0) * 100 AS smape
+      FROM all_paths p JOIN fit USING (level, series_id, holdout)
+           JOIN hist h ON h.level = p.level AND h.series_id = p.series_id AND h.rn = train_rows + step
+      WHERE holdout = 3 AND step <= 3 AND fit.n_rows >= 27 GROUP BY ALL)
+GROUP BY level, model"""
+
 FORECASTING["train_test_split"] = """
 SELECT level, series_id, period_date, y AS target_value,
        CASE WHEN rn > n_rows - 3 THEN 'test' ELSE 'train' END AS split

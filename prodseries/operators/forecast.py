@@ -10,6 +10,16 @@ Two models stand in for iterative fits and are not numerically equal to them:
                      over t = 14..n, rolled out recursively.
 ``trend_seasonal``   least-squares line over the month index plus the mean residual of the
                      calendar month (0 for a month never seen).
+
+Two more are fitted only where they are asked for by name, from further sums of the same kind:
+
+``seasonal_arma``    d(t) = a d(t-1) + b d(t-12) + c e(t-1), in two steps of least squares: the
+                     residuals e of a longer autoregression (d(t-1), d(t-2), d(t-12); t = 14..n)
+                     are regressors of the second (t = 15..n). The last residual enters the
+                     first month forecast, later ones have none.
+``trend_changepoints``  a line whose slope may change at fixed shares of the training span, plus
+                     two yearly waves: normal equations from aggregated moments, with a ridge
+                     on slope changes and waves, solved row by row.
 """
 
 from __future__ import annotations
@@ -50,10 +60,15 @@ def order_history(history: DataFrame) -> DataFrame:
             F.col("target_value").alias("y"),
             F.row_number().over(series).alias("rn"),
             F.count("*").over(Window.partitionBy(*SERIES)).alias("n_rows"),
-            *[F.lag("target_value", k).over(series).alias(f"l{k}") for k in (1, 2, SEASON, SEASON + 1)],
+            *[F.lag("target_value", k).over(series).alias(f"l{k}") for k in (1, 2, 3, SEASON, SEASON + 1)],
+        )
+        .withColumns(
+            {
+                "d0": F.expr("y - l1"), "d1": F.expr("l1 - l2"), "d2": F.expr("l2 - l3"),
+                "d12": F.expr(f"l{SEASON} - l{SEASON + 1}"),
+            }
         )
-        .withColumns({"d0": F.expr("y - l1"), "d1": F.expr("l1 - l2"), "d12": F.expr(f"l{SEASON} - l{SEASON + 1}")})
-        .drop("l1", "l2", f"l{SEASON}", f"l{SEASON + 1}")
+        .drop("l1", "l2", "l3", f"l{SEASON}", f"l{SEASON + 1}")
     )
 
 
@@ -61,10 +76,118 @@ def _aggregates(named: dict[str, str]) -> list[Column]:
     return [F.expr(sql).alias(name) for name, sql in named.items()]
 
 
-def fit_series(ordered: DataFrame, holdout: Column, extra_keys: list[str], horizon: int = 0) -> DataFrame:
+# ------------------------------------------------------- state of the models by name
+
+
+def _det3(m: list[list[str]]) -> str:
+    """The determinant of a 3 x 3 matrix of SQL terms."""
+    a, b, c = m
+    return (
+        f"({a[0]} * ({b[1]} * {c[2]} - {b[2]} * {c[1]}) - {a[1]} * ({b[0]} * {c[2]} - {b[2]} * {c[0]})"
+        f" + {a[2]} * ({b[0]} * {c[1]} - {b[1]} * {c[0]}))"
+    )
+
+
+def _solved3(moment, target) -> tuple[str, list[str]]:
+    """Whether three normal equations have one solution, and the three unknowns (else NULL).
+    ``moment(i, j)`` and ``target(i)`` name sums of products."""
+    m = [[moment(min(i, j), max(i, j)) for j in range(3)] for i in range(3)]
+    whole = _det3(m)
+    proper = f"coalesce({whole} > {SINGULAR} * {m[0][0]} * {m[1][1]} * {m[2][2]}, false)"
+    swapped = [[[target(i) if j == k else m[i][j] for j in range(3)] for i in range(3)] for k in range(3)]
+    return proper, [f"CASE WHEN {proper} THEN {_det3(x)} / {whole} END" for x in swapped]
+
+
+SINGULAR = 1e-10
+_LONG = ("d1", "d2", "d12")
+_SHORT = ("d1", "d12", "e1")
+
+
+def _arma_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the residuals of the long autoregression, their own (e0) and the month before's (e1)."""
+    fitted = Window.partitionBy(*SERIES, *keys)
+    used = F.expr(f"rn <= train_rows AND rn >= {SEASON + 2}")
+
+    def over(a: str, b: str) -> Column:
+        return F.sum(F.when(used, F.col(a) * F.col(b))).over(fitted)
+
+    sums = {f"_m{i}{j}": over(_LONG[i], _LONG[j]) for i in range(3) for j in range(i, 3)}
+    sums |= {f"_t{i}": over(_LONG[i], "d0") for i in range(3)}
+    proper, unknowns = _solved3(lambda i, j: f"_m{i}{j}", lambda i: f"_t{i}")
+    residual = " - ".join(["d0", *[f"({u}) * {x}" for u, x in zip(unknowns, _LONG, strict=True)]])
+    named = rows.withColumns(sums).withColumn("e0", F.when(F.col("rn") >= SEASON + 2, F.expr(residual)))
+    return named.withColumn("e1", F.lag("e0").over(fitted.orderBy("rn"))).drop(*sums)
+
+
+def _arma_state() -> tuple[dict[str, str], dict[str, str]]:
+    used = f"FILTER (WHERE rn <= train_rows AND rn >= {SEASON + 3})"
+    sums = {f"arma_m{i}{j}": f"sum({_SHORT[i]} * {_SHORT[j]}) {used}" for i in range(3) for j in range(i, 3)}
+    sums |= {f"arma_t{i}": f"sum({_SHORT[i]} * d0) {used}" for i in range(3)}
+    sums["arma_last"] = "max(e0) FILTER (WHERE rn = train_rows)"
+    proper, unknowns = _solved3(lambda i, j: f"arma_m{i}{j}", lambda i: f"arma_t{i}")
+    packed = {"arma_proper": f"{proper} AND arma_last IS NOT NULL", "arma_last": "arma_last"}
+    return sums, packed | dict(zip(("arma_1", "arma_12", "arma_e"), unknowns, strict=True))
+
+
+# Shares of the training span at which the slope may change, yearly waves, and their ridges.
+CHANGEPOINTS = (0.2, 0.4, 0.6, 0.8)
+WAVES = 2
+SLOPE_RIDGE, WAVE_RIDGE = 0.1, 0.1
+
+
+def _terms(share: str, x: str) -> list[str]:
+    """The regressors of a month ``x`` at a share of the training span, as SQL."""
+    angles = [f"2 * pi() * {k} * ({x}) / {SEASON}" for k in range(1, WAVES + 1)]
+    hinges = [f"greatest(({share}) - {c}, 0.0D)" for c in CHANGEPOINTS]
+    return ["1.0D", f"({share})", *hinges, *[f"{f}({angle})" for angle in angles for f in ("sin", "cos")]]
+
+
+_RIDGES = [0.0, 0.0] + [SLOPE_RIDGE] * len(CHANGEPOINTS) + [WAVE_RIDGE] * 2 * WAVES
+
+
+def _span_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the regressors, whose changepoints depend on the series' training span."""
+    fitted, used = Window.partitionBy(*SERIES, *keys), F.col("rn") <= F.col("train_rows")
+    spans = rows.withColumns({"x_first": F.min(F.when(used, F.col("x"))).over(fitted), "x_last": F.max(F.when(used, F.col("x"))).over(fitted)})
+    share = "coalesce(try_divide(x - x_first, x_last - x_first), 0.0D)"
+    return spans.withColumns({f"z{i}": F.expr(t) for i, t in enumerate(_terms(share, "x"))})
+
+
+def _span_state() -> tuple[dict[str, str], dict[str, str]]:
+    n, used = len(_RIDGES), "FILTER (WHERE rn <= train_rows)"
+    sums = {f"z{i}_{j}": f"sum(z{i} * z{j}) {used}" for i in range(n) for j in range(i, n)}
+    sums |= {f"z{i}_y": f"sum(z{i} * y) {used}" for i in range(n)} | {"x_first": "max(x_first)", "x_last": "max(x_last)"}
+
+    def cell(i: int, j: int) -> str:
+        ridge = f" + {_RIDGES[i]}D" if i == j else ""
+        return f"z{min(i, j)}_{max(i, j)}{ridge}"
+
+    matrix = ", ".join(f"array({', '.join(cell(i, j) for j in range(n))}, z{i}_y)" for i in range(n))
+    # Gauss and Jordan; the ridges make pivots positive wherever there are two dates.
+    solved = (
+        f"aggregate(sequence(0, {n - 1}), array({matrix}), (m, i) -> transform(m, (row, r) -> IF(r = i,"
+        " transform(row, v -> try_divide(v, m[i][i])),"
+        " transform(row, (v, c) -> v - try_divide(m[r][i], m[i][i]) * m[i][c]))))"
+    )
+    packed = {
+        "span_first": "x_first",
+        "span": "x_last - x_first",
+        "span_fit": f"CASE WHEN x_last > x_first THEN transform({solved}, row -> row[{n}]) END",
+    }
+    return sums, packed
+
+
+# Models with a state of their own: rows are prepared, then sums and what is packed of them.
+NAMED_STATES = {"seasonal_arma": (_arma_rows, _arma_state), "trend_changepoints": (_span_rows, _span_state)}
+
+
+def fit_series(
+    ordered: DataFrame, holdout: Column, extra_keys: list[str], horizon: int = 0, models: list[str] | None = None
+) -> DataFrame:
     """One row of state per series, fitted on all but the last ``holdout`` rows.
 
     With ``horizon`` the held-out dates and values come along as ``test_date`` / ``test_y``.
+    ``models`` names those whose own state is wanted besides the common one.
     """
     rows = ordered.withColumns(
         {
@@ -73,6 +196,9 @@ def fit_series(ordered: DataFrame, holdout: Column, extra_keys: list[str], horiz
             "m": F.month("period_date"),
         }
     )
+    named = [NAMED_STATES[name] for name in models or [] if name in NAMED_STATES]
+    for prepare, _ in named:
+        rows = prepare(rows, extra_keys)
     months, steps, tail = range(1, SEASON + 1), range(1, horizon + 1), range(TAIL)
     lagged = f"FILTER (WHERE rn <= train_rows AND rn >= {SEASON + 2})"
     state = {
@@ -115,6 +241,10 @@ def fit_series(ordered: DataFrame, holdout: Column, extra_keys: list[str], horiz
         "intercept": "coalesce(intercept, recent_mean)",
         "seasonal": f"array({seasonal})",
     }
+    for _, own in named:
+        sums, more = own()
+        state |= sums
+        packed |= more
     if horizon:
         packed["test_date"] = f"array({', '.join(f'test_date_{s}' for s in steps)})"
         packed["test_y"] = f"array({', '.join(f'test_y_{s}' for s in steps)})"
@@ -152,6 +282,15 @@ _EXTEND = (
     f" + ar_12 * (element_at(levels, -{SEASON}) - element_at(levels, -{SEASON + 1}))))"
 )
 
+_EXTEND_ARMA = (
+    "(levels, step) -> concat(levels, array(element_at(levels, -1)"
+    " + arma_1 * (element_at(levels, -1) - element_at(levels, -2))"
+    f" + arma_12 * (element_at(levels, -{SEASON}) - element_at(levels, -{SEASON + 1}))"
+    " + IF(step = 1, arma_e * arma_last, 0.0D)))"
+)
+_NEXT_SHARE = "(last_x + step - span_first) / span"
+_CHANGEPOINT_LEVEL = " + ".join(f"span_fit[{i}] * {t}" for i, t in enumerate(_terms(_NEXT_SHARE, "last_x + step")))
+
 MODELS = {
     f.name: f
     for f in (
@@ -172,13 +311,31 @@ MODELS = {
             f"transform({_STEPS}, step -> intercept + slope * (last_x + step)"
             f" + get(seasonal, (last_x + step - 1) % {SEASON}))",
         ),
+        Forecaster(
+            "seasonal_arma",
+            4,
+            True,
+            f"slice(aggregate({_STEPS}, tail, {_EXTEND_ARMA}), {TAIL + 1}, {{h}})",
+            f"CASE WHEN train_rows < {SEASONAL_MIN_ROWS} THEN 'series too short for seasonal baseline'"
+            " WHEN NOT arma_proper THEN 'singular_fit' END",
+        ),
+        Forecaster(
+            "trend_changepoints",
+            5,
+            True,
+            f"transform({_STEPS}, step -> {_CHANGEPOINT_LEVEL})",
+            f"CASE WHEN train_rows < {SEASONAL_MIN_ROWS} THEN 'series too short for seasonal baseline'"
+            " WHEN span_fit IS NULL OR exists(span_fit, b -> b IS NULL) THEN 'singular_fit' END",
+        ),
     )
 }
+# What is fitted unless models are named.
+STANDARD_MODELS = [name for name in MODELS if name not in NAMED_STATES]
 DYNAMIC_MODELS = [f.name for f in MODELS.values() if f.dynamic]
 
 
 def resolve_models(names: list[str] | None = None) -> list[Forecaster]:
-    names = list(MODELS) if names is None else names
+    names = STANDARD_MODELS if names is None else names
     unknown = [n for n in names if n not in MODELS]
     if unknown:
         raise ValueError(f"Unsupported model: {unknown[0]}")
@@ -187,12 +344,12 @@ def resolve_models(names: list[str] | None = None) -> list[Forecaster]:
 
 def path_of(model: str, h: str) -> Column:
     """Forecast path of the model that column ``model`` names; only that branch is evaluated."""
-    branches = " ".join(f"WHEN '{f.name}' THEN {f.path.format(h=h)}" for f in MODELS.values())
+    branches = " ".join(f"WHEN '{f.name}' THEN {f.path.format(h=h)}" for f in resolve_models())
     return F.expr(f"CASE {model} {branches} END")
 
 
 def reason_of(model: str) -> Column:
-    branches = " ".join(f"WHEN '{f.name}' THEN {f.reason}" for f in MODELS.values())
+    branches = " ".join(f"WHEN '{f.name}' THEN {f.reason}" for f in resolve_models())
     return F.expr(f"CASE {model} {branches} ELSE concat('Unsupported model: ', {model}) END")
 
 
@@ -241,7 +398,7 @@ def backtest_state(
     The two fits are two groups of the same aggregation, so the history is shuffled once.
     """
     fits = order_history(history).withColumn("holdout", F.explode(F.array(F.lit(horizon), F.lit(0))))
-    state = fit_series(fits, F.col("holdout"), ["holdout"], horizon)
+    state = fit_series(fits, F.col("holdout"), ["holdout"], horizon, models)
     enough = F.col("n_rows") >= horizon + min_train
     return state.select(
         *FORECAST_CONTEXT,
@@ -380,7 +537,7 @@ def backtest(
 def forecast_with(history: DataFrame, model: str, horizon: int = HORIZON) -> DataFrame:
     """One model for every series: the next ``horizon`` months after its last row."""
     (forecaster,) = resolve_models([model])
-    state = fit_series(order_history(history), F.lit(0), [])
+    state = fit_series(order_history(history), F.lit(0), [], models=[model])
     return (
         state.filter(forecaster.reason_of().isNull())
         .select(

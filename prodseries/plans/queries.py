@@ -358,6 +358,22 @@ def forecast_trend_seasonal(spark, sf):
     return rounded(forecast.forecast_with(_history(spark, sf), "trend_seasonal", 12), 4, "forecast_value")
 
 
+@query
+def forecast_seasonal_arma(spark, sf):
+    return rounded(forecast.forecast_with(_history(spark, sf), "seasonal_arma", 12), 3, "forecast_value")
+
+
+@query
+def forecast_trend_changepoints(spark, sf):
+    return rounded(forecast.forecast_with(_history(spark, sf), "trend_changepoints", 12), 3, "forecast_value")
+
+
+@query
+def leaderboard_of_all_models(spark, sf):
+    metrics = forecast.backtest(_history(spark, sf), models=list(forecast.MODELS)).metrics
+    return rounded(forecast.leaderboard(metrics), 3, *[f"{m}_mean" for m in ("mae", "rmse", "mape", "smape")])
+
+
 @query
 def backtest_predictions(spark, sf):
     return rounded(forecast.backtest(_history(spark, sf)).predictions, 4, "y_pred", "abs_error")

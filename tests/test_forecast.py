@@ -309,3 +309,93 @@ def test_a_level_without_a_model_is_logged(spark):
     out = selection.operational_forecast(h, board(spark), None, "level_mae", D(2020, 8, 1), D(2030, 9, 1))
     assert out.forecasts.count() == 0
     assert [(r.model, r.reason) for r in out.skipped.collect()] == [(None, "no_selected_model")]
+
+
+# ------------------------------------------------------------- models that are fitted by name
+
+
+def _months(n, start=0):
+    return [datetime.date(2015 + (start + i) // 12, (start + i) % 12 + 1, 1) for i in range(n)]
+
+
+def _frame(spark, series):
+    rows = [("l", name, "m", "d", "u", day, float(v)) for name, (days, values) in series.items() for day, v in zip(days, values, strict=True)]
+    return spark.createDataFrame(
+        rows, "level string, series_id string, mineral string, departamento string, unidad string, period_date date, target_value double"
+    )
+
+
+def _arma_by_numpy(y, h):
+    d = np.diff(y, prepend=np.nan)
+    lag = lambda k: np.concatenate([np.full(k, np.nan), d[:-k]])
+    long = np.column_stack([lag(1), lag(2), lag(12)])
+    at = np.arange(13, len(y))  # t = 14..n
+    g = np.linalg.lstsq(long[at], d[at], rcond=None)[0]
+    e = np.full(len(y), np.nan)
+    e[at] = d[at] - long[at] @ g
+    short = np.column_stack([lag(1), lag(12), np.concatenate([[np.nan], e[:-1]])])
+    at = at[1:]
+    a, b, c = np.linalg.lstsq(short[at], d[at], rcond=None)[0]
+    levels = list(y)
+    for step in range(h):
+        levels.append(levels[-1] + a * (levels[-1] - levels[-2]) + b * (levels[-12] - levels[-13]) + (c * e[len(y) - 1] if step == 0 else 0))
+    return levels[len(y):]
+
+
+def _changepoints_by_numpy(x, y, h):
+    def terms(x):
+        share = (x - x0) / (x1 - x0)
+        waves = [f(2 * np.pi * k * x / 12) for k in range(1, forecast.WAVES + 1) for f in (np.sin, np.cos)]
+        return np.column_stack([np.ones_like(share), share, *[np.maximum(share - c, 0) for c in forecast.CHANGEPOINTS], *waves])
+
+    x0, x1 = x[0], x[-1]
+    z = terms(x)
+    fit = np.linalg.solve(z.T @ z + np.diag(forecast._RIDGES), z.T @ y)
+    return terms(np.arange(x1 + 1, x1 + 1 + h)) @ fit
+
+
+def test_models_by_name_equal_numpy(spark):
+    rng = np.random.default_rng(8)
+    series = {}
+    for i, n in enumerate((24, 25, 40, 90)):
+        t = np.arange(n)
+        y = 100 + 3 * t + 20 * np.sin(t / 2) - 4 * np.maximum(0, t - n / 2) + rng.normal(0, 5, n).cumsum()
+        series[f"s{i}"] = (_months(n, i), y)
+    history = _frame(spark, series)
+    for model in ("seasonal_arma", "trend_changepoints"):
+        got = {}
+        for r in forecast.forecast_with(history, model, 14).orderBy("horizon_step").collect():
+            got.setdefault(r.series_id, []).append(r.forecast_value)
+        for name, (days, y) in series.items():
+            x = np.array([12.0 * d.year + d.month for d in days])
+            want = _arma_by_numpy(y, 14) if model == "seasonal_arma" else _changepoints_by_numpy(x, y, 14)
+            np.testing.assert_allclose(got[name], want, rtol=1e-6, err_msg=f"{model} {name}")
+
+
+def test_a_changed_slope_and_a_shock_are_followed(spark):
+    t = np.arange(60.0)
+    bent = np.where(t < 36, 10 * t, 360 + 2 * (t - 36))
+    history = _frame(spark, {"bent": (_months(60), bent)})
+    line, bend = (
+        [r.forecast_value for r in forecast.forecast_with(history, m, 6).orderBy("horizon_step").collect()]
+        for m in ("trend_seasonal", "trend_changepoints")
+    )
+    truth = 360 + 2 * (np.arange(60, 66) - 36)
+    assert np.abs(bend - truth).mean() < 0.5 * np.abs(line - truth).mean()
+
+
+def test_models_by_name_say_why_they_are_not_fitted(spark):
+    history = _frame(spark, {"flat": (_months(40), [5.0] * 40), "short": (_months(20), range(20)), "one_day": (_months(1) * 30, range(30))})
+    views = forecast.backtest(history, horizon=2, min_train=10, models=["seasonal_arma", "trend_changepoints"])
+    reasons = {(r.series_id, r.model): r.reason for r in views.skipped.collect()}
+    assert reasons["flat", "seasonal_arma"] == "singular_fit"
+    assert reasons["short", "trend_changepoints"] == "series too short for seasonal baseline"
+    assert reasons["one_day", "trend_changepoints"] == "singular_fit"
+    flat = views.future.filter("series_id = 'flat' AND model = 'trend_changepoints'").collect()
+    assert [round(r.forecast_value, 6) for r in flat] == [5.0, 5.0]
+
+
+def test_standard_models_are_four(spark):
+    assert forecast.STANDARD_MODELS == ["naive", "moving_average", "seasonal_ar", "trend_seasonal"]
+    history = _frame(spark, {"s": (_months(40), noisy(40))})
+    assert {r.model for r in forecast.backtest(history).metrics.collect()} == set(forecast.STANDARD_MODELS)
