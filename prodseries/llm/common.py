@@ -2,34 +2,57 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prodseries import session
+
 # A side of a join is only broadcast when its counted size is below this.
 BROADCAST_BYTES = 32 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where
-    the session names none (tests, a single machine)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+    """The folder that all executors share: ``spark.checkpoint.dir``. Only a session within one
+    machine (tests) may go without it, and gets a temporary one."""
+    folder = session.shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+# Tables written inside ``scope``; outside it they stay until their folder is swept.
+_HELD: list[list[str]] = []
+
+
+@contextmanager
+def scope() -> Iterator[list[str]]:
+    """Collects the paths of the tables that are written meanwhile."""
+    _HELD.append([])
+    try:
+        yield _HELD[-1]
+    finally:
+        _HELD.pop()
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables of a scope that nothing is going to read any more."""
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: later reads neither
     recompute it nor depend on the executors that made it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if _HELD:
+        _HELD[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

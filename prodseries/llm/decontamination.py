@@ -1,9 +1,13 @@
 """Benchmark decontamination over a positional inverted index; DataFrame functions only.
 
-The index holds postings (term, document, position) of the terms that the test windows are
-looked up by. A window is looked up by its rarest terms, as counted over all training
-postings: the lists, shifted by each term's offset in the window, are intersected, and what
-is left is compared word by word.
+The index holds a posting (row, position, term) for every word of the training documents that
+is a word of the test set, and is written once to the shared folder. All that follows reads it: the
+terms' numbers of postings, the lists of each test window's rarest terms, shifted by the terms'
+offsets and intersected, and for proximity the lists of the other terms. Exact matches are at
+last compared word by word with the document.
+
+Documents go by a number of their id and text, so rows without an id, or with one that another
+text has too, are searched like all others.
 """
 
 from __future__ import annotations
@@ -20,8 +24,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINDOW = 10
 # Lists that are intersected before the words themselves are compared.
 RAREST = 2
-# Generous sizes of a row of the lookup table and of a candidate when a broadcast is decided.
-LOOKUP_ROW, CANDIDATE_ROW = 100, 64
+# Generous sizes of rows when a broadcast is decided: of the lookup table, a candidate, a document's hits.
+LOOKUP_ROW, CANDIDATE_ROW, HIT_ROW = 100, 64, 200
 
 
 def words_of(text: Column) -> Column:
@@ -55,70 +59,107 @@ def test_windows(items: DataFrame, id_col: str, text_col: str, width: int = WIND
 
 
 def test_terms(windows: DataFrame) -> DataFrame:
-    return written(windows.select(F.explode("words").alias("term")).distinct(), "terms")
+    """(word, term) with a number for each distinct word of the windows."""
+    words = windows.select(F.explode("words").alias("word")).distinct()
+    return written(words.withColumn("term", F.monotonically_increasing_id()), "terms")
 
 
-def training_postings(docs: DataFrame, terms: DataFrame, row_bytes: int) -> DataFrame:
-    """(term, doc_id, pos) of the wanted terms, with whatever else ``terms`` says of them."""
-    everywhere = docs.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "term"))
-    return everywhere.join(maybe_broadcast(terms, row_bytes), "term")
+def test_postings(windows: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, win, offset, length) of every word of every window."""
+    each = windows.select("win", F.size("words").alias("length"), F.posexplode("words").alias("offset", "word"))
+    return written(each.join(terms, "word").drop("word"), "test-postings")
 
 
-def lookup_terms(docs: DataFrame, windows: DataFrame, rarest: int = RAREST) -> DataFrame:
-    """(term, win, offset, rank, length): the rarest terms by which each window is looked up,
-    by their number of postings in all documents (counted in part before the shuffle)."""
-    counts = training_postings(docs, test_terms(windows), LOOKUP_ROW).groupBy("term").agg(F.count("*").alias("n"))
-    each = windows.select("win", F.size("words").alias("length"), F.posexplode("words").alias("offset", "term"))
+def training_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """The stored index: (row, pos, term) for each word of ``docs`` (row, text) that is a term.
+
+    Postings stay where their documents are read unless the terms are too many to be broadcast.
+    """
+    everywhere = docs.select("row", F.posexplode(words_of(F.col("text"))).alias("pos", "word"))
+    return written(everywhere.join(maybe_broadcast(terms, LOOKUP_ROW), "word").select("row", "pos", "term"), "postings")
+
+
+def _ranked(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The windows' terms with their rank from the rarest on, by postings in all documents."""
+    counts = index.groupBy("term").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy("win").orderBy(F.coalesce("n", F.lit(0)), "offset"))
-    ranked = each.join(counts, "term", "left").withColumn("rank", rank)
-    return written(ranked.filter(F.col("rank") <= rarest).select("term", "win", "offset", "rank", "length"), "lookup")
+    return written(wanted.join(counts, "term", "left").withColumn("rank", rank).drop("n"), "lookup")
+
+
+def _shifted(index: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Postings of the terms in ``lookup``, each with the window start that its offset gives."""
+    return index.join(maybe_broadcast(lookup, LOOKUP_ROW), "term").withColumn("start", F.col("pos") - F.col("offset"))
+
+
+def _index_of(docs: DataFrame, items: DataFrame, item_id: str, item_text: str, width: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The windows, their items, the index and the windows' ranked terms."""
+    windows, owners = test_windows(items, item_id, item_text, width)
+    terms = test_terms(windows)
+    index = training_postings(docs, terms)
+    return windows, owners, index, _ranked(index, test_postings(windows, terms))
+
+
+def _words_around(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The documents that ``places`` (row, and others) are in, with their words and places."""
+    fields = [c for c in places.columns if c != "row"]
+    by_row = written(places.groupBy("row").agg(F.collect_list(F.struct(*fields)).alias("places")), "places")
+    small = places.count() * CANDIDATE_ROW <= BROADCAST_BYTES
+    rows = docs.join(F.broadcast(by_row) if small else by_row, "row")
+    return rows.select("row", "places", words_of(F.col("text")).alias("doc_words"))
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, item_id: str = "item_id", item_text: str = "text",
                    width: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Exact occurrences (doc_id, win, start, length) of test windows, and (win, item_id).
+    """Exact occurrences (row, win, start, length) of test windows, and (win, item_id).
 
-    ``docs`` has doc_id and text. The lists of a window's rarest terms are intersected on
-    (document, adjusted start); the few places that remain are compared word by word.
+    ``docs`` has row and text. The lists of a window's rarest terms are intersected on
+    (row, adjusted start); the few places that remain are compared word by word.
     """
-    windows, owners = test_windows(items, item_id, item_text, width)
-    lists = training_postings(docs, lookup_terms(docs, windows), LOOKUP_ROW).withColumn(
-        "start", F.col("pos") - F.col("offset")
-    )
-    met = lists.groupBy("doc_id", "win", "start", "length").agg(F.count_distinct("rank").alias("lists"))
-    places = written(
-        met.filter((F.col("lists") == F.least("length", F.lit(RAREST))) & (F.col("start") >= 0)).drop("lists"), "places"
-    )
-    by_doc = written(
-        places.groupBy("doc_id").agg(F.collect_list(F.struct("win", "start", "length")).alias("places")), "places"
-    )
-    small = places.count() * CANDIDATE_ROW <= BROADCAST_BYTES
-    bound = F.broadcast(by_doc) if small else by_doc
-    read = docs.join(bound, "doc_id").select("doc_id", "places", words_of(F.col("text")).alias("doc_words"))
-    said = read.select(
-        "doc_id",
+    windows, owners, index, ranked = _index_of(docs, items, item_id, item_text, width)
+    lists = _shifted(index, ranked.filter(F.col("rank") <= RAREST))
+    # One exchange: a bit for each list that has the place.
+    met = lists.groupBy("row", "win", "start", "length").agg(F.bit_or(F.expr("shiftleft(1, rank - 1)")).alias("lists"))
+    wanted = F.expr(f"shiftleft(1, least(length, {RAREST})) - 1")
+    places = written(met.filter((F.col("lists") == wanted) & (F.col("start") >= 0)).drop("lists"), "places")
+    said = _words_around(docs, places).select(
+        "row",
         F.explode(
             F.transform("places", lambda p: F.struct(p.win.alias("win"), p.start.alias("start"), p.length.alias("length"),
                         F.slice("doc_words", p.start + 1, p.length).alias("said")))
         ).alias("p"),
-    ).select("doc_id", "p.*")
+    ).select("row", "p.*")
     exact = said.join(windows, "win").filter(F.col("said") == F.col("words"))
-    return written(exact.select("doc_id", "win", "start", "length"), "matches"), owners
+    return written(exact.select("row", "win", "start", "length"), "matches"), owners
 
 
-def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 5, width: int = WINDOW,
-                      item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, item_id, start): the rarest terms of a window within ``slop`` words of the
-    places they have in it, in any order. ``start`` is the rarest term's adjusted start."""
-    windows, owners = test_windows(items, item_id, item_text, width)
-    lists = training_postings(docs, lookup_terms(docs, windows), LOOKUP_ROW).withColumn(
-        "start", F.col("pos") - F.col("offset")
-    )
-    near = Window.partitionBy("doc_id", "win").orderBy("start").rangeBetween(-slop, slop)
-    met = lists.withColumn("lists", F.size(F.collect_set("rank").over(near))).filter(
-        (F.col("rank") == 1) & (F.col("lists") == F.least("length", F.lit(RAREST)))
+def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 5, width: int = WINDOW, id_col: str = "doc_id",
+                      text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(doc_id, item_id, start): places where every term of a window stands within ``slop`` words of
+    its place there, counted from the window's rarest term, in any order. ``start`` is where the
+    window would start by that term (it may lie before the document).
+
+    Candidates come from the lists of the two rarest terms; each is confirmed on all terms.
+    """
+    base = docs.select(F.col(id_col).alias("doc_id"), row_key(F.col(id_col), F.col(text_col)).alias("row"), F.col(text_col).alias("text"))
+    windows, owners, index, ranked = _index_of(base.select("row", "text"), items, item_id, item_text, width)
+    lists = _shifted(index, ranked.filter(F.col("rank") <= RAREST))
+    near = Window.partitionBy("row", "win").orderBy("start").rangeBetween(-slop, slop)
+    met = lists.withColumn("lists", F.bit_or(F.expr("shiftleft(1, rank - 1)")).over(near))
+    wanted = F.expr(f"shiftleft(1, least(length, {RAREST})) - 1")
+    places = written(
+        met.filter((F.col("rank") == 1) & (F.col("lists") == wanted)).select("row", "win", "start", "length").distinct(), "near-places"
     )
-    return met.join(owners, "win").select("doc_id", "item_id", "start").distinct()
+    around = _words_around(base.select("row", "text").dropDuplicates(["row"]), places).select("row", "doc_words", F.explode("places").alias("p")).select("row", "doc_words", "p.*")
+
+    def close(word: Column, offset: Column) -> Column:
+        first = F.col("start") + offset - slop
+        low = F.greatest(first, F.lit(0))
+        return F.array_contains(F.slice("doc_words", low + 1, F.greatest(first + 2 * slop + 1 - low, F.lit(0))), word)
+
+    pairs = F.arrays_zip(F.col("words").alias("word"), F.sequence(F.lit(0), F.size("words") - 1).alias("offset"))
+    found = around.join(windows, "win").filter(F.forall(pairs, lambda x: close(x["word"], x["offset"])))
+    matched = written(found.select("row", "win", "start").join(owners, "win").select("row", "item_id", "start").distinct(), "near-matches")
+    return base.select("doc_id", "row").distinct().join(matched, "row").select("doc_id", "item_id", "start").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -127,28 +168,29 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     strings, of items that occur), contaminated.
 
     Null and empty texts have no words. Rows that repeat an id with the same text give equal
-    rows; ids are expected to name one text. A null id never matches; an item with a
-    null id makes hits but is not named. Empty tables give an
-    empty result, or clean documents; other columns are not read.
+    rows; rows with a null id, or with an id of several texts, are searched each by itself. An
+    item with a null id makes hits but is not named. Empty tables give an empty result, or clean
+    documents; other columns are not read.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found, owners = phrase_matches(base, items, item_id, item_text, width)
-    spans = found.select("doc_id", "start", "length").distinct()
+    key = row_key(F.col(id_col), F.col(text_col))
+    base = docs.select(F.col(id_col).alias("doc_id"), key.alias("row"), F.col(text_col).alias("text"))
+    found, owners = phrase_matches(base.select("row", "text"), items, item_id, item_text, width)
+    spans = found.select("row", "start", "length").distinct()
     hit = (
-        spans.select("doc_id", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("p"))
+        spans.select("row", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("p"))
         .distinct()
-        .groupBy("doc_id")
+        .groupBy("row")
         .agg(F.count("*").alias("n_hit"))
     )
     occurring = (
-        found.select("doc_id", "win").distinct().join(owners, "win").select("doc_id", "item_id").distinct()
-        .groupBy("doc_id")
+        found.select("row", "win").distinct().join(owners, "win").select("row", "item_id").distinct()
+        .groupBy("row")
         .agg(F.sort_array(F.collect_list(F.col("item_id").cast("string"))).alias("item_ids"))
     )
-    hits = written(hit.join(occurring, "doc_id"), "hits")
+    hits = maybe_broadcast(written(hit.join(occurring, "row"), "hits"), HIT_ROW)
     return (
-        base.select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-        .join(hits, "doc_id", "left")
+        base.select("doc_id", "row", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+        .join(hits, "row", "left")
         .select(
             "doc_id",
             "n_words",
@@ -161,9 +203,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without an occurrence of a test window, with all their columns. Each row is
-    searched under a number of its own, so rows without an id are searched like all others."""
+    searched by itself, so rows without an id are searched like all others."""
     key = row_key(docs[id_col], docs[text_col])
-    base = docs.select(key.alias("doc_id"), docs[text_col].alias("text"))
-    found, _ = phrase_matches(base, items)
-    dirty = found.select(F.col("doc_id").alias("dirty_key")).distinct()
-    return docs.join(dirty, key == dirty["dirty_key"], "left_anti")
+    found, _ = phrase_matches(docs.select(key.alias("row"), docs[text_col].alias("text")), items)
+    dirty = written(found.select(F.col("row").alias("dirty_key")).distinct(), "dirty")
+    # Few rows against whole texts: these do not move while the few are counted as small.
+    return docs.join(maybe_broadcast(dirty, 24), key == dirty["dirty_key"], "left_anti")

@@ -352,10 +352,13 @@ def _estimated(pairs: DataFrame, bits: DataFrame, least: float, percent: int) ->
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with the smallest id of their group, with all their columns; of a group
     without an id, one row."""
-    kept = written(_found(docs, k, percent, id_col, text_col).filter("kept"), "kept")
+    found = written(_found(docs, k, percent, id_col, text_col), "found")
+    kept = found.filter("kept")
     key = row_key(docs[id_col].cast("long"), docs[text_col])
-    rows = kept.select(F.col("row").alias("kept_row")).distinct()
-    out = docs.join(rows, key == rows["kept_row"], "left_semi")
+    # Rows that go are fewer than those that stay: while they are counted as small, texts do not move.
+    gone = written(found.filter("not kept").select(F.col("row").alias("gone_row")).distinct().join(
+        kept.select(F.col("row").alias("gone_row")).distinct(), "gone_row", "left_anti"), "gone")
+    out = docs.join(maybe_broadcast(gone, 24), key == gone["gone_row"], "left_anti")
     again = kept.filter("doc_id is null and n_shingles > 0").groupBy("row").count().filter("count > 1").select(F.col("row").alias("again_row"))
     if not again.limit(1).count():
         return out

@@ -233,6 +233,77 @@ def test_proximity(spark):
     assert {r["doc_id"] for r in found.collect()} == {1, 2}
 
 
+def near_by_brute_force(texts, bench, slop, width=10):
+    """(doc_id, item_id, start) by the rarest word of each window, in plain loops."""
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+    said = {d: words(t) for d, t in texts.items()}
+    times = Counter(w for ws in said.values() for w in ws)
+    found = set()
+    for item, text in bench:
+        ws = words(text)
+        for i in range(max(1, len(ws) - width + 1)) if ws else ():
+            window = ws[i : i + width]
+            rarest = min(range(len(window)), key=lambda j: (times[window[j]], j))
+            for d, doc in said.items():
+                for p in (p for p, w in enumerate(doc) if w == window[rarest]):
+                    start = p - rarest
+                    if all(w in doc[max(0, start + j - slop) : max(0, start + j + slop + 1)] for j, w in enumerate(window)):
+                        found.add((d, item, start))
+    return found
+
+
+@pytest.mark.parametrize("slop", [0, 1, 4])
+def test_proximity_against_brute_force(spark, slop):
+    rng = np.random.default_rng(slop)
+    vocabulary = [f"w{i}" for i in range(30)]
+    bench = [(i, " ".join(rng.choice(vocabulary, rng.integers(1, 16)))) for i in range(25)] + [(99, None), (98, "")]
+    texts = {}
+    for d in range(60):
+        own = bench[rng.integers(25)][1].split()
+        at = rng.integers(0, len(own))
+        own[at : at + 1] = [own[at], *rng.choice(vocabulary, rng.integers(0, 3))]
+        if rng.random() < 0.4:
+            rng.shuffle(own)
+        texts[d] = " ".join([*rng.choice(vocabulary, rng.integers(0, 20)), *own, *rng.choice(vocabulary, rng.integers(0, 20))])
+    texts |= {100: None, 101: "", 102: bench[0][1].upper()}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = decontamination.proximity_matches(docs, items(spark, bench), slop=slop)
+    assert set(map(tuple, found.collect())) == near_by_brute_force(texts, bench, slop)
+    assert found.count() > 20
+    assert not re.search("Python|Pandas|Arrow", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_proximity_wants_every_term(spark):
+    docs = spark.createDataFrame([(1, "unrelated zebra text with quokka inside of it"), (2, "quokka zebra a b c d e f g h")], "doc_id long, text string")
+    found = decontamination.proximity_matches(docs, items(spark, [(1, "zebra quokka a b c d e f g h")]), slop=5)
+    assert {r["doc_id"] for r in found.collect()} == {2}
+
+
+def test_rows_without_ids_and_ids_of_several_texts_are_searched_one_by_one(spark):
+    said = "one two three four five six seven eight nine ten"
+    rows = [(None, f"x {said} y"), (None, "clean"), (None, None), (4, said), (4, "clean words here"), (5, said), (5, said)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = decontamination.contamination(docs, items(spark, [(1, said)])).collect()
+    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], r["contaminated"]) for r in found), key=str) == sorted(
+        [(None, 12, 10, True), (None, 1, 0, False), (None, 0, 0, False), (4, 10, 10, True), (4, 3, 0, False), (5, 10, 10, True), (5, 10, 10, True)], key=str
+    )
+
+
+def test_the_index_holds_each_word_of_the_test_set_once(spark, docs, texts):
+    windows, _ = decontamination.test_windows(spark.read.parquet(f"{SF}/benchmark.parquet"), "item_id", "text")
+    terms = decontamination.test_terms(windows)
+    base = docs.select(F.col("doc_id").alias("row"), "text")
+    index = decontamination.training_postings(base, terms).join(terms, "term").select("row", "pos", "word").collect()
+    known = {r["word"] for r in terms.collect()}
+
+    def words(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+    assert sorted(map(tuple, index)) == sorted((d, p, w) for d, t in texts.items() for p, w in enumerate(words(t)) if w in known)
+
+
 # 5: language
 
 
