@@ -7,12 +7,13 @@ documents table; the last returns the pieces of the packed sequences.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prodseries.llm import decontamination, line_chunks, near_duplicates, packing, quality_classifier
-from prodseries.llm.common import free_name, written
+from prodseries.llm.common import dropped, free_name, scope, written
 from prodseries.llm.queries import TOKENIZER, table
 
 
@@ -23,11 +24,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Multi-line chunks that an earlier document has are cut out; n_chars follows the text."""
+    """Multi-line chunks that an earlier document has are cut out; n_chars follows the text.
+    Documents go that lose lines and have no word left; those that had none come as they are."""
     removed = free_name(docs, "n_removed")
     cleaned = line_chunks.without_repeats(docs, lines_col=free_name(docs, "n_lines"), removed_col=removed)
+    left = cleaned.filter((F.col(removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     changed = F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", changed).select(*docs.columns)
+    return left.withColumn("n_chars", changed).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +48,39 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed(docs, TOKENIZER, width=2048)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_classifier", quality),
-    ("line_dedup", line_dedup),
-    ("minhash_near_dedup", near_dedup),
-    ("decontamination", decontaminate),
-    ("packing", pack),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Tables that stages wrote for themselves, until a later stage has read their result.
+_SPENT: dict[str, list[str]] = {}
+
+
+def tidied(stage: Stage) -> Stage:
+    """The stage, which first drops what earlier ones wrote for themselves: its documents have been
+    written by then. Where they have not, and still come from such tables, all of them stay."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spent = _SPENT.setdefault(spark.sparkContext.applicationId, [])
+        sources = docs.inputFiles() if spent else []
+        if spent and sources and not any(path in file for path in spent for file in sources):
+            dropped(spark, spent)
+            spent.clear()
+        with scope() as own:
+            out = stage(spark, docs, sf_dir)
+        spent.extend(own)
+        return out
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    (name, tidied(stage))
+    for name, stage in (
+        ("quality_classifier", quality),
+        ("line_dedup", line_dedup),
+        ("minhash_near_dedup", near_dedup),
+        ("decontamination", decontaminate),
+        ("packing", pack),
+    )
 ]
 
 # The trained model, the hashed chunks and the tokenizer are beyond SQL; tests/llm holds each
@@ -59,7 +89,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, held = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scope() as own:
+            docs = written(stage(spark, docs, sf_dir), name)
+        # The documents before are read; the last result stays.
+        dropped(spark, held)
+        held = own
+    dropped(spark, _SPENT.pop(spark.sparkContext.applicationId, []))
     return docs
