@@ -202,6 +202,13 @@ FORECASTING["future_forecasts"] = "SELECT * FROM futures"
 FORECASTING["skipped_series"] = """
 SELECT DISTINCT level, series_id, 'all' AS model, 'insufficient_history(len=' || n_rows || ')' AS reason
 FROM hist WHERE n_rows < 83"""
+# Of 83 months at most, 60 held out leave fewer than 24.
+FORECASTING["skipped_models"] = """
+SELECT DISTINCT level, series_id, 'all' AS model, 'insufficient_history(len=' || n_rows || ')' AS reason
+FROM hist WHERE n_rows < 70
+UNION ALL
+SELECT DISTINCT level, series_id, 'seasonal_ar', 'series too short for seasonal baseline'
+FROM hist WHERE n_rows >= 70 AND n_rows - 60 < 24"""
 FORECASTING["forecast_report"] = """
 SELECT level, 'predictions' AS measure, count(*) AS n FROM preds GROUP BY level
 UNION ALL SELECT level, 'series_metrics', count(*) FROM series_metrics GROUP BY level

@@ -11,6 +11,10 @@ from prodseries.functions import measures as m
 from prodseries.schemas import GAP_OK_MAX, GAP_WARNING_MAX, PERIOD_KEYS
 
 
+# The order of the stored facts.
+TIDY_ORDER = ["period_date", "mineral", "departamento", "series_code"]
+
+
 def tidy_observations(base: DataFrame) -> DataFrame:
     """Add period, classification, rounding and key columns; units stay as they are."""
     date, month = F.col("period_date"), F.col("month")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from prodseries.operators import charts, cleaning, explore, features, forecast, publish, quality, selection, tidy
 from prodseries.operators.snapshots import SnapshotTable
 from prodseries.schemas import DEPARTMENT_LEVEL, GAP_OK_MAX, GAP_WARNING_MAX, NATIONAL_LEVEL
-from prodseries.sources.tables import as_feature_table, as_operational_forecasts, series_history, write_report, write_table
+from prodseries.sources.tables import as_feature_table, as_operational_forecasts, series_history, write_ordered, write_report, write_table
 
 PUBLISHED = {"facts": publish.FACTS, "aggregates": publish.AGGREGATES, "predictions": publish.PREDICTIONS}
 
@@ -61,11 +61,8 @@ class MonthlyRun:
     def published(self, name: str) -> SnapshotTable:
         return SnapshotTable(self.spark, self.path(f"published/{name}"), **PUBLISHED[name])
 
-    def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-        if partition_by:
-            # Few, even files per partition however skewed the partitions are.
-            df = df.hint("rebalance", partition_by)
-        write_table(df, self.path(name), partition_by=[partition_by] if partition_by else None)
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        write_table(df, self.path(name))
         return self.table(name)
 
     def report(self, df: DataFrame, name: str) -> None:
@@ -90,7 +87,9 @@ class MonthlyRun:
 
     def transform(self) -> None:
         base = self.table("interim/long_base")
-        facts = self.write(tidy.tidy_observations(base), "processed/tidy", "year")
+        # In their order, so that a period's rows lie together and others are skipped by file statistics.
+        write_ordered(tidy.tidy_observations(base), self.path("processed/tidy"), tidy.TIDY_ORDER)
+        facts = self.table("processed/tidy")
         self.write(tidy.agg_mineral_period(facts), "processed/agg_mineral_period")
         self.write(tidy.agg_departamento_period(facts), "processed/agg_departamento_period")
         aggregates = [self.table(f"processed/agg_{name}_period") for name in ("mineral", "departamento")]

@@ -92,15 +92,12 @@ def domain_values(spark, sf):
 
 # ---------------------------------------------------------------------- staged tables
 
-TIDY_ORDER = ["period_date", "mineral", "departamento", "series_code"]
-
-
 @query
 def ordered_tidy(spark, sf):
     """The facts in their order, which the files that hold them tell."""
     path = scratch_path(spark, "ordered-tidy")
-    tables.write_ordered(_tidy(spark, sf), path, TIDY_ORDER)
-    return tables.read_ordered(spark, path).select(*TIDY_ORDER, "value", "row_no")
+    tables.write_ordered(_tidy(spark, sf), path, tidy.TIDY_ORDER)
+    return tables.read_ordered(spark, path).select(*tidy.TIDY_ORDER, "value", "row_no")
 
 
 @query
@@ -410,6 +407,16 @@ def skipped_series(spark, sf):
     return forecast.backtest(_history(spark, sf), min_train=STRICT_MIN_TRAIN).skipped
 
 
+# So long that what is left to train on is too short for a season.
+LONG_HORIZON, SHORT_TRAIN = 60, 10
+
+
+@query
+def skipped_models(spark, sf):
+    """Models that cannot be fitted to a series that others are fitted to, and series without any."""
+    return forecast.backtest(_history(spark, sf), LONG_HORIZON, SHORT_TRAIN).skipped
+
+
 @query
 def forecast_report(spark, sf):
     history = _history(spark, sf)
