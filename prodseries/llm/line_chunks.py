@@ -1,8 +1,8 @@
 """Removal of repeated runs of lines.
 
 Boundaries that a rolling hash over line hashes chooses by content lose repeats: a run whose lines
-they cut apart has no whole chunk in it. With chunks of two lines on average 74% of shared passages
-of four lines, and a quarter of the lines of long ones, stayed. So a boundary is taken at every
+they cut apart has no whole chunk in it. With chunks of two lines on average, 61% of the lines of
+shared passages of eight lines stayed, and 27% of those of 200. So a boundary is taken at every
 line: the hash of two neighbouring lines, rolled on by one, is a chunk, and chunks overlap. Chunks whose
 hashes repeat anywhere in the corpus are compared byte by byte with their first occurrence
 (smallest document, then place), and the lines of equal ones are removed. A run of lines that an

@@ -322,6 +322,30 @@ def test_language_of_odd_documents(spark):
     assert language_id.languages(no_documents(spark)).count() == 0
 
 
+def test_training_texts_are_different(spark):
+    rows = [(i, "the one text that has many copies", "en") for i in range(3000)]
+    rows += [(5000 + i, f"another english text number {'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}", "en") for i in range(90)]
+    rows += [(6000 + i, f"un texte francais {'abcdefghij'[i]}", "fr") for i in range(10)] + [(7000, "null language", None), (7001, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = [(r["lang"], r["text"]) for r in language_id.training_rows(docs, 40).collect()]
+    assert len(found) == len(set(found))
+    assert Counter(lang for lang, _ in found)["en"] == 40 and 1 <= Counter(lang for lang, _ in found)["fr"] <= 10
+
+
+def test_kernel_is_exact_on_texts_with_many_signs():
+    rng = np.random.default_rng(1)
+    one, two = ("".join(map(chr, rng.integers(0x4E00 + a, 0x4E00 + a + 9000, 60_000))) for a in (0, 9500))
+    a, b = language_id.grams(one), language_id.grams(two)
+    exact = {bytes(x) for k in (1, 2, 3) for x in zip(*[one.encode()[j:] for j in range(k)], strict=False)}
+    assert len(a) >= len(exact) and len(a) > 20_000
+    vocabulary = np.union1d(a, b)
+    kernel = language_id.presence([a, b], vocabulary) @ language_id.presence([a, b], vocabulary).T
+    assert kernel[0, 0] == pytest.approx(1, abs=1e-4)
+    assert kernel[0, 1] == pytest.approx(len(np.intersect1d(a, b)) / np.sqrt(len(a) * len(b)), abs=1e-4)
+    model = language_id.fit_languages([language_id.grams(t[i : i + 400]) for t in (one, two) for i in range(0, 20_000, 400)], ["x"] * 50 + ["y"] * 50)
+    assert model.predict([one, two])[0] == ["x", "y"]
+
+
 # 6: quality rules
 
 
@@ -348,6 +372,26 @@ def test_rule_counts(spark, docs, texts):
     assert quality_rules.rule_verdicts(no_documents(spark), labels(spark)).count() == 0
 
 
+def walked(trees, x):
+    """The score of one row by walking each tree from its root to a leaf."""
+    total = trees.base
+    for root in trees.roots.tolist():
+        node = root
+        while trees.left[node] != node:
+            node = int(trees.left[node] if x[trees.feature[node]] <= trees.threshold[node] else trees.right[node])
+        total += trees.value[node]
+    return 1 / (1 + np.exp(-total))
+
+
+def test_flattened_trees_score_like_a_walk():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, len(RATIOS)))
+    y = ((x[:, 0] + x[:, 3] * x[:, 4] > 0) ^ (rng.random(1500) < 0.1)).astype(float)
+    trees = quality_rules.fit_trees(x, y, np.array([quality_rules.MONOTONE.get(r, 0) for r in RATIOS]))
+    rows = np.concatenate([rng.normal(size=(200, len(RATIOS))), x[:50], np.zeros((1, len(RATIOS))), np.full((1, len(RATIOS)), 1e9)])
+    assert np.allclose(trees.scores(rows), [walked(trees, r) for r in rows])
+
+
 def test_trees_learn_and_stay_monotone():
     rng = np.random.default_rng(3)
     x = rng.random((3000, len(RATIOS)))
@@ -392,6 +436,61 @@ def test_classifier_on_odd_documents(spark):
     assert quality_classifier.posteriors(no_documents(spark), labels(spark), F.col("source"), F.col("lang")).count() == 0
 
 
+def sites_by_brute_force(rows):
+    """(host, path) -> posterior rate, in plain loops over (host, path, evidence)."""
+    p = [(h, q, 1 / (1 + np.exp(-e))) for h, q, e in rows]
+    rate = np.mean([x for _, _, x in p])
+
+    def strength(groups, means):
+        ss = sum(len(g) * (np.mean(g) - m) ** 2 for g, m in zip(groups, means, strict=True))
+        chance = sum(np.mean(g) * (1 - np.mean(g)) for g in groups)
+        spread = max(0.0, (ss - chance) / sum(map(len, groups)))
+        return max(quality_classifier.LEAST_STRENGTH, rate * (1 - rate) / spread - 1) if spread else np.inf
+
+    def shrunk(g, prior, k):
+        return prior if np.isinf(k) else (sum(g) + k * prior) / (len(g) + k)
+
+    hosts, paths = {}, {}
+    for h, q, x in p:
+        hosts.setdefault(h, []).append(x)
+        paths.setdefault((h, q), []).append(x)
+    k = strength(list(hosts.values()), [rate] * len(hosts))
+    host_rate = {h: shrunk(g, rate, k) for h, g in hosts.items()}
+    k2 = strength(list(paths.values()), [host_rate[h] for h, _ in paths])
+    return {key: shrunk(g, host_rate[key[0]], k2) for key, g in paths.items()}, rate
+
+
+def test_sites_against_brute_force_and_what_they_do(spark):
+    """Dense good and bad hosts, a bad path in a good host, and sparse sites."""
+    rng = np.random.default_rng(12)
+    rows = [("good", "a", e) for e in rng.normal(3, 1, 400)] + [("good", "bad", e) for e in rng.normal(-3, 1, 150)]
+    rows += [("bad", "b", e) for e in rng.normal(-4, 1, 500)] + [("sparse", "c", -4.0), (None, None, 2.0)]
+    rows += [(f"host{i}", f"p{i % 3}", e) for i in range(40) for e in rng.normal(2, 1, 5)]
+    scored = spark.createDataFrame([(i, *r) for i, r in enumerate((h, q, float(e)) for h, q, e in rows)], "doc_id long, host string, path string, evidence double")
+    sites, rate = quality_classifier.site_posteriors(scored)
+    expected, whole = sites_by_brute_force(rows)
+    found = {(r["host"], r["path"]): r["prior"] for r in sites.collect()}
+    assert rate == pytest.approx(whole)
+    assert found.keys() == expected.keys()
+    for key, want in expected.items():
+        assert found[key] == pytest.approx(want, rel=1e-6, abs=1e-9)
+    # A dense bad site counts for what it is, however far from the rest; a sparse one says less.
+    assert found["bad", "b"] < 0.1 < found["sparse", "c"] and found["good", "bad"] < 0.4 < found["good", "a"]
+
+
+def test_dense_sites_pull_without_a_bound(spark, monkeypatch):
+    def evidence(rows, model):
+        return rows.select("doc_id", "host", "path", F.when(F.col("text") == "bad", -5.0).when(F.col("text") == "unsure", 0.5).otherwise(5.0).alias("evidence"))
+
+    monkeypatch.setattr(quality_classifier, "with_evidence", evidence)
+    rows = [("bad", "badhost")] * 300 + [("good", "goodhost")] * 900 + [("unsure", "badhost"), ("unsure", "goodhost")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, host string")
+    found = quality_classifier.posteriors(docs, labels(spark), F.col("host"), F.col("host")).filter("evidence = 0.5").collect()
+    assert {r["host"]: r["kept"] for r in found} == {"badhost": False, "goodhost": True}
+    pull = {r["host"]: np.log(r["score"] / (1 - r["score"])) - 0.5 for r in found}
+    assert pull["badhost"] < -3 and pull["goodhost"] > 1
+
+
 # 8: near duplicates
 
 
@@ -480,6 +579,31 @@ def test_near_duplicates_of_odd_documents(spark):
     assert near_duplicates.near_duplicates(no_documents(spark)).count() == 0
 
 
+@pytest.mark.parametrize(("sizes", "rows"), [((19_000, 700, 300), 19_000 + 1000 * 11), ((20_000, 0, 0), 20_000), ((3, 2, 1), 9)])
+def test_buckets_with_one_large_group_are_dealt_in_proportion(spark, sizes, rows):
+    members = [(1, i, g, 50, [0], [0]) for g, n in enumerate(sizes) for i in range(g * 100_000, g * 100_000 + n)]
+    frame = spark.createDataFrame(members, "key long, doc_id long, root long, n_shingles long, bits array<long>, bands array<long>")
+    dealt = near_duplicates.dealt_in_blocks(frame)
+    assert dealt.count() <= max(rows, len(members) + 3)
+    # Every two members of different groups meet in one task group.
+    if len(members) < 10:
+        met = Counter()
+        for r in dealt.groupBy("p", "q").agg(F.collect_list(F.struct("doc_id", "root", "own")).alias("m")).collect():
+            for a in r["m"]:
+                for b in r["m"]:
+                    if a.root < b.root and {a.own, b.own} == {r["p"], r["q"]}:
+                        met[a.doc_id, b.doc_id] += 1
+        assert set(met.values()) == {1} and len(met) == 3 * 2 + 3 * 1 + 2 * 1
+
+
+def test_blocks_are_bounded_in_shingles(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK_SHINGLES", 1000)
+    members = [(1, i, 0 if i < 100 else 1, 100, [0], [0]) for i in range(200)]
+    frame = spark.createDataFrame(members, "key long, doc_id long, root long, n_shingles long, bits array<long>, bands array<long>")
+    most = near_duplicates.dealt_in_blocks(frame).groupBy("p", "q").agg(F.sum("n_shingles").alias("n")).agg(F.max("n")).first()[0]
+    assert most < 6000
+
+
 # 9: sharding
 
 
