@@ -27,8 +27,11 @@ WORD_BITS, WORDS = 18, 512
 # Beginnings of words, in bytes, that are features like whole words.
 PREFIXES = (4, 5)
 STEPS, RIDGE = 400, 1e-4
-# A site's strength lies between these (pseudo-documents); its pull is bounded in log odds.
-STRENGTHS, MOST_PULL = (20.0, 2000.0), 1.0
+# Pseudo-documents that a site's prior counts for at least: what a site with as many documents says
+# of itself is worth half. The spread between sites can only raise it.
+LEAST_STRENGTH = 20.0
+# Rates of sites are held this far from 0 and 1, where log odds have no number.
+LEAST_RATE = 1e-9
 
 
 def word_buckets(text: str | None) -> np.ndarray:
@@ -140,9 +143,15 @@ def with_evidence(rows: DataFrame, model: DocumentModel) -> DataFrame:
 
 
 def strength(spread: float, mean: float) -> float:
-    """Pseudo-documents of a beta prior with this mean and variance between sites."""
-    low, high = STRENGTHS
-    return float(np.clip(mean * (1 - mean) / spread - 1, low, high)) if spread > 0 else high
+    """Pseudo-documents of a beta prior with this mean and variance between sites; infinite
+    without variance, where all sites are the prior."""
+    return max(LEAST_STRENGTH, mean * (1 - mean) / spread - 1) if spread > 0 else float("inf")
+
+
+def shrunk(good: Column, n: Column, prior: Column, k: float) -> Column:
+    """The posterior rate of a site under a prior of ``k`` pseudo-documents."""
+    rate = prior if np.isinf(k) else (good + k * prior) / (n + k)
+    return F.least(F.greatest(rate, F.lit(LEAST_RATE)), F.lit(1 - LEAST_RATE))
 
 
 def between_sites(sites: DataFrame, mean: Column) -> float:
@@ -162,10 +171,10 @@ def site_posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
     whole = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     rate = min(max((whole["good"] or 0.0) / max(whole["n"] or 0, 1), 1e-6), 1 - 1e-6)
     k = strength(between_sites(hosts, F.lit(rate)), rate)
-    posts = written(hosts.select("host", ((F.col("good") + k * rate) / (F.col("n") + k)).alias("host_rate")), "hosts")
+    posts = written(hosts.select("host", shrunk(F.col("good"), F.col("n"), F.lit(rate), k).alias("host_rate")), "hosts")
     below = paths.join(posts, paths["host"].eqNullSafe(posts["host"])).select(paths["host"], "path", "good", "n", "host_rate")
     k2 = strength(between_sites(below, F.col("host_rate")), rate)
-    prior = (F.col("good") + k2 * F.col("host_rate")) / (F.col("n") + k2)
+    prior = shrunk(F.col("good"), F.col("n"), F.col("host_rate"), k2)
     return written(below.select("host", "path", prior.alias("prior")), "sites"), rate
 
 
@@ -195,7 +204,7 @@ def _scored(rows: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame
     near = maybe_broadcast(sites, 200)
     same = scored["host"].eqNullSafe(near["host"]) & scored["path"].eqNullSafe(near["path"])
     pull = F.log(F.col("prior") / (1 - F.col("prior"))) - float(np.log(rate / (1 - rate)))
-    odds = F.col("evidence") + F.greatest(F.least(pull, F.lit(MOST_PULL)), F.lit(-MOST_PULL))
+    odds = F.col("evidence") + pull
     joined = scored.join(near, same, "left").select(scored["*"], "prior")
     return joined.withColumn("score", 1 / (1 + F.exp(-odds))).withColumn("kept", F.col("score") >= least)
 
