@@ -33,8 +33,8 @@ ESTIMATE_SLACK = 0.2
 # Minima of a few shingles are not as independent: candidates of which one has no more than
 # these are confirmed without an estimate.
 SMALL_SET = 64
-# Members of a bucket that one task compares; larger buckets are dealt in pairs of blocks.
-BLOCK = 2048
+# Members, and shingles of theirs, of a block; larger buckets are compared in pairs of blocks.
+BLOCK, BLOCK_SHINGLES = 2048, 1 << 21
 
 _RNG = np.random.default_rng(20240918)
 _XOR = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
@@ -208,19 +208,39 @@ def block_candidates(table: pa.Table, most: int):
                 yield i, hit
 
 
+def dealt_in_blocks(members: DataFrame) -> DataFrame:
+    """Members once for each pair of blocks (p, q) that theirs (own) is in."""
+    groups = members.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("held"))
+    largest = F.max_by(F.struct("root", "n", "held"), F.struct("n", -F.col("root")))
+    sizes = groups.groupBy("key").agg(largest.alias("big"), F.sum("n").alias("n"), F.sum("held").alias("held"))
+
+    def blocks(n: Column, held: Column) -> Column:
+        return F.greatest(F.ceil(n / float(BLOCK)), F.ceil(held / float(BLOCK_SHINGLES)), F.lit(1)).cast("int")
+
+    counts = sizes.select(
+        F.col("key").alias("their_key"), F.col("big.root").alias("big"), blocks(F.col("big.n"), F.col("big.held")).alias("of_big"),
+        blocks(F.col("n") - F.col("big.n"), F.col("held") - F.col("big.held")).alias("of_rest"),
+    )
+    mine = members.join(counts, members["key"] == counts["their_key"]).withColumn("in_big", F.col("root") == F.col("big"))
+    number = F.xxhash64("doc_id")
+    own = F.when(F.col("in_big"), F.pmod(number, F.col("of_big"))).otherwise(F.col("of_big") + F.pmod(number, F.col("of_rest"))).cast("int")
+    others = F.sequence(F.when(F.col("in_big"), F.col("of_big")).otherwise(F.lit(0)), F.col("of_big") + F.col("of_rest") - 1)
+    return mine.withColumn("own", own).withColumn("other", F.explode(others)).select(
+        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "root", "n_shingles", "bits", "bands"
+    )
+
+
 def apart_links(members: DataFrame, sets: DataFrame, least: float, percent: int) -> DataFrame:
     """Links (a, b) between members of a bucket that are in different groups.
 
-    ``members``: key, n, doc_id, root, n_shingles, bits, bands. Buckets over BLOCK members are dealt as
-    pairs of blocks, each of which is one bounded task group. Members whose estimates may reach
-    the threshold get their full sets, and are compared where they are: a row goes out for each
-    link that joins two groups, not for each pair.
+    ``members``: key, doc_id, root, n_shingles, bits, bands. A bucket's largest group and the others
+    are dealt in blocks of bounded numbers of members and shingles; each pair of blocks is one
+    task group. Blocks of the largest group never meet each other, so a bucket of one
+    large group and some strays is dealt in rows that grow with its members, not their square.
+    Members whose estimates may reach the threshold get their full sets, and are compared where
+    they are: a row goes out for each link that joins two groups, not for each pair.
     """
-    blocks = F.ceil(F.col("n") / float(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-        "key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "doc_id", "root", "n_shingles", "bits", "bands"
-    )
+    dealt = dealt_in_blocks(members)
     chance = 1 / (1 << LOW_BITS)
     most = int((1.0 - (least * (1 - chance) + chance)) * HASHES)
 
@@ -297,7 +317,7 @@ def _found(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) ->
         one = maybe_broadcast(written(nameless.select(F.col("first_row").alias("row"), F.col("doc_id").alias("node")), "nameless"), 48)
         texts = texts.filter("doc_id is not null").union(base.join(one, "row").select("node", "text"))
     rows = folded.select("doc_id", F.explode("bands").alias("key"))
-    buckets = written(rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1"), "buckets")
+    buckets = written(rows.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n"), "buckets")
     members = written(rows.join(buckets, "key"), "members")
 
     bits = folded.select("doc_id", "n_shingles", "bits")
@@ -313,7 +333,7 @@ def _found(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) ->
     apart = members.join(grouped, "doc_id")
     several = apart.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("key")
     marks = folded.select("doc_id", "n_shingles", "bits", "bands")
-    rest = apart.join(several, "key", "left_semi").join(marks, "doc_id").select("key", "n", "doc_id", "root", "n_shingles", "bits", "bands")
+    rest = apart.join(several, "key", "left_semi").join(marks, "doc_id").select("key", "doc_id", "root", "n_shingles", "bits", "bands")
     more = written(apart_links(rest, sets, least, percent), "block-links")
     roots = connected(grouped.select("doc_id"), links.union(more)) if more.limit(1).count() else grouped
 
