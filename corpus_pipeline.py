@@ -6,7 +6,8 @@ documents table; the last returns the pieces of the packed sequences.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,19 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 _SPENT: dict[str, list[str]] = {}
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows at a time between the JVM and its Python workers, which both hold them: ten
+    thousand whole texts are tens of megabytes on either side of every task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, 1000)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def tidied(stage: Stage) -> Stage:
     """The stage, which first drops what earlier ones wrote for themselves: its documents have been
     written by then. Where they have not, and still come from such tables, all of them stay."""
@@ -64,7 +78,7 @@ def tidied(stage: Stage) -> Stage:
         if spent and sources and not any(path in file for path in spent for file in sources):
             dropped(spark, spent)
             spent.clear()
-        with scope() as own:
+        with scope() as own, small_batches(spark):
             out = stage(spark, docs, sf_dir)
         spent.extend(own)
         return out
