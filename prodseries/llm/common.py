@@ -45,12 +45,14 @@ def dropped(spark: SparkSession, paths: list[str]) -> None:
         there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, group_bytes: int | None = None) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back: later reads neither
-    recompute it nor depend on the executors that made it."""
+    recompute it nor depend on the executors that made it. A writer holds a row group of
+    ``group_bytes`` (Parquet's default: 128 MB) in memory."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.option("parquet.block.size", group_bytes) if group_bytes else writer).parquet(path)
     if _HELD:
         _HELD[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)

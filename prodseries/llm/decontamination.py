@@ -26,6 +26,8 @@ WINDOW = 10
 RAREST = 2
 # Generous sizes of rows when a broadcast is decided: of the lookup table, a candidate, a document's hits.
 LOOKUP_ROW, CANDIDATE_ROW, HIT_ROW = 100, 64, 200
+# Postings that a task holds before it writes them.
+POSTINGS_GROUP = 8 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -76,7 +78,7 @@ def training_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     Postings stay where their documents are read unless the terms are too many to be broadcast.
     """
     everywhere = docs.select("row", F.posexplode(words_of(F.col("text"))).alias("pos", "word"))
-    return written(everywhere.join(maybe_broadcast(terms, LOOKUP_ROW), "word").select("row", "pos", "term"), "postings")
+    return written(everywhere.join(maybe_broadcast(terms, LOOKUP_ROW), "word").select("row", "pos", "term"), "postings", POSTINGS_GROUP)
 
 
 def _ranked(index: DataFrame, wanted: DataFrame) -> DataFrame:
