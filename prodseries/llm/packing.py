@@ -17,7 +17,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from prodseries.llm.common import partitions, written
-from prodseries.llm.tokens import encoder
+from prodseries.llm.tokens import encoder, released
 
 DIMENSIONS, BITS = 4, 12
 HASH_BITS = 12
@@ -134,6 +134,7 @@ def packed(docs: DataFrame, tokenizer: str, width: int = 2048, id_col: str = "do
     full = total // width
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        released()
         for batch in batches:
             out: list[tuple] = []
             for doc, n, raw, place in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "place")), strict=True):

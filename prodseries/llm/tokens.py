@@ -17,9 +17,12 @@ import numpy as np
 from prodseries.llm.hashing import OTHER_BASE, SPACE, in_slices, joined, spans_hash, word_spans
 
 SPACE_CLASS, LETTER, DIGIT, PUNCTUATION, OPAQUE = 0, 1, 2, 3, 4
-# Slots of the lookup table and pieces held before the memo starts afresh (about 100 MB).
+# Slots of the lookup table, and pieces and ids held before the memo starts afresh (about 50 MB).
 TABLE_BITS = 21
 MOST_PIECES = 1_200_000
+MOST_IDS = 8_000_000
+# Bytes of text that are worked on at a time: the working arrays are many times as large.
+SLICE_BYTES = 1 << 17
 
 _CLASS = np.full(256, PUNCTUATION, dtype=np.uint8)
 _CLASS[128:] = OPAQUE
@@ -40,6 +43,12 @@ def encoder(path: str) -> "Encoder":
     return _ENCODERS[path]
 
 
+def released() -> None:
+    """Drops the process's encoders: a worker that has done its tokenizing needs the memory for
+    other work, and a later task makes them anew."""
+    _ENCODERS.clear()
+
+
 def pieces(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and classes of the pieces of a buffer of UTF-8, and the folded buffer."""
     kind, low = _CLASS[buf], _LOWER[buf]
@@ -85,11 +94,12 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        # Rows of two hashes and the piece's number (as unsigned; -1 is an empty slot).
-        self.table = np.full((1 << TABLE_BITS, 3), (1 << 64) - 1, dtype=np.uint64)
-        self.start = np.zeros(1 << 16, dtype=np.int64)
-        self.length = np.zeros(1 << 16, dtype=np.int32)
-        self.pool = np.zeros(1 << 18, dtype=np.uint32)
+        # Numbers of pieces (-1 is an empty slot); by number, a piece's two hashes and where its
+        # ids start in the pool. They end where the next piece's start.
+        self.slots = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
+        self.hashes = np.zeros((1 << 14, 2), dtype=np.uint64)
+        self.start = np.zeros(1 << 14, dtype=np.uint32)
+        self.pool = np.zeros(1 << 16, dtype=np.uint16 if len(self.ends_word) <= 1 << 16 else np.uint32)
         self.count = self.used = 0
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +110,7 @@ class Encoder:
             lengths = np.array([len(r.ids) for r in rows], dtype=np.int64)
             return np.concatenate([np.zeros(0, np.uint32), *(np.array(r.ids, np.uint32) for r in rows)]), lengths
         ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
-        for a, b in in_slices(raw, len):
+        for a, b in in_slices(raw, len, SLICE_BYTES):
             found = self._slice(raw[a:b])
             ids.append(found[0])
             counts.append(found[1])
@@ -113,27 +123,30 @@ class Encoder:
         value = self._known(h, g)
         new = np.flatnonzero(value < 0)
         if len(new):
-            if self.count + len(new) > MOST_PIECES:
+            if self.count + len(new) > MOST_PIECES or self.used > MOST_IDS:
                 self.forget()
                 value[:] = -1
                 new = np.arange(len(h))
             _, first, back = np.unique(h[new] ^ (g[new] >> np.uint64(1)), return_index=True, return_inverse=True)
             value[new] = self._learn(low, starts, ends, kinds, h, g, new[first])[back]
-        lengths = self.length[value]
+        lengths = (self.start[value + 1] - self.start[value]).astype(np.int64)
         done = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
-        ids = self.pool[np.repeat(self.start[value] - done[:-1], lengths) + np.arange(done[-1])]
+        ids = self.pool[np.repeat(self.start[value] - done[:-1], lengths) + np.arange(done[-1])].astype(np.uint32)
         return ids, np.diff(done[np.searchsorted(starts, at)])
 
     def _known(self, h: np.ndarray, g: np.ndarray) -> np.ndarray:
         """Numbers of the pieces that are in one of their two slots, else -1."""
         shift = np.uint64(64 - TABLE_BITS)
-        slot = self.table[(h >> shift).astype(np.int64)]
-        value = np.where((slot[:, 0] == h) & (slot[:, 1] == g), slot[:, 2].view(np.int64), -1)
+        value = self._in_slot(h >> shift, h, g)
         rest = np.flatnonzero(value < 0)
-        slot = self.table[(g[rest] >> shift).astype(np.int64)]
-        value[rest] = np.where((slot[:, 0] == h[rest]) & (slot[:, 1] == g[rest]), slot[:, 2].view(np.int64), -1)
+        value[rest] = self._in_slot(g[rest] >> shift, h[rest], g[rest])
         return value
 
+    def _in_slot(self, slot: np.ndarray, h: np.ndarray, g: np.ndarray) -> np.ndarray:
+        value = self.slots[slot.astype(np.int64)]
+        own = self.hashes[value]
+        return np.where((value >= 0) & (own[:, 0] == h) & (own[:, 1] == g), value, np.int32(-1))
+
     def _learn(self, low, starts, ends, kinds, h, g, new) -> np.ndarray:
         """Ask the library for new pieces; their numbers in the memo."""
         data = low.tobytes()
@@ -157,24 +170,23 @@ class Encoder:
         lengths = np.array([len(r) for r in rows], dtype=np.int32)
         ids = np.concatenate(rows)
         numbers = np.arange(self.count, self.count + len(new), dtype=np.int32)
-        self.start, self.length = _grown(self.start, numbers[-1] + 1), _grown(self.length, numbers[-1] + 1)
-        self.pool = _grown(self.pool, self.used + len(ids))
+        self.hashes, self.start = _grown(self.hashes, numbers[-1] + 1, MOST_PIECES), _grown(self.start, numbers[-1] + 2, MOST_PIECES + 1)
+        self.pool = _grown(self.pool, self.used + len(ids), MOST_IDS)
         self.pool[self.used : self.used + len(ids)] = ids
-        self.start[numbers] = self.used + np.cumsum(lengths) - lengths
-        self.length[numbers] = lengths
+        self.start[numbers + 1] = self.used + np.cumsum(lengths, dtype=np.int64)
+        self.hashes[numbers, 0], self.hashes[numbers, 1] = h[new], g[new]
         self.count, self.used = self.count + len(new), self.used + len(ids)
         # An empty slot of the two if there is one; else the first is taken over.
         shift = np.uint64(64 - TABLE_BITS)
         one, two = (h[new] >> shift).astype(np.int64), (g[new] >> shift).astype(np.int64)
-        empty = np.uint64((1 << 64) - 1)
-        slots = np.where((self.table[one, 2] != empty) & (self.table[two, 2] == empty), two, one)
-        self.table[slots] = np.stack([h[new], g[new], numbers.astype(np.uint64)], axis=1)
+        self.slots[np.where((self.slots[one] >= 0) & (self.slots[two] < 0), two, one)] = numbers
         return numbers
 
 
-def _grown(values: np.ndarray, size: int) -> np.ndarray:
+def _grown(values: np.ndarray, size: int, most: int) -> np.ndarray:
+    """Room for ``size`` rows: twice as much as before, but no more than ``most`` unless needed."""
     if size <= len(values):
         return values
-    out = np.zeros(max(size, 2 * len(values)), dtype=values.dtype)
+    out = np.zeros((max(size, min(2 * len(values), most)), *values.shape[1:]), dtype=values.dtype)
     out[: len(values)] = values
     return out

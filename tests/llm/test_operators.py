@@ -119,6 +119,45 @@ def test_encoder_equals_the_library():
         assert part.tolist() == expected_ids(text).tolist()[:-1], text
 
 
+def memo_bytes(made):
+    return sum(v.nbytes for v in vars(made).values() if isinstance(v, np.ndarray))
+
+
+def test_memo_of_many_pieces_is_small():
+    made = tokens.Encoder(TOKENIZER)
+    assert memo_bytes(made) < 10 << 20
+    words = ["".join("abcdefghij"[int(d)] for d in f"{i:05d}") for i in range(100_000)]
+    some = [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]
+    ids, counts = made.encode(some)
+    assert made.count == len(words) and memo_bytes(made) < 16 << 20
+    again = made.encode(some)
+    assert np.array_equal(ids, again[0]) and np.array_equal(counts, again[1])
+    for i in (0, 77, 199):
+        assert ids[counts[:i].sum() : counts[: i + 1].sum()].tolist() == expected_ids(some[i]).tolist()[:-1]
+
+
+def test_memo_of_long_pieces_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST_IDS", 20_000, raising=False)
+    made, rng = tokens.Encoder(TOKENIZER), np.random.default_rng(3)
+    for _ in range(30):
+        text = "".join(map(chr, rng.integers(0x4E00, 0x9000, 3000)))
+        assert made.encode([text])[0].tolist() == expected_ids(text).tolist()[:-1]
+        assert made.used <= 20_000 + 3 * 3000 and len(made.pool) <= 1 << 16
+
+
+def test_packing_drops_the_encoder_before_it_cuts(spark, monkeypatch):
+    def stop():
+        raise ValueError("the encoder goes here")
+
+    tokens.encoder(TOKENIZER)
+    monkeypatch.setattr(tokens, "_ENCODERS", dict(tokens._ENCODERS))
+    tokens.released()
+    assert not tokens._ENCODERS
+    monkeypatch.setattr(packing, "released", stop)
+    with pytest.raises(Exception, match="the encoder goes here"):
+        packing.packed(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), TOKENIZER).collect()
+
+
 def test_hilbert_neighbours_touch():
     grid = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
     keys = packing.hilbert_keys(grid, 3)
